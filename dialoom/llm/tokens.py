@@ -12,15 +12,18 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 
-#: Entries a worker keeps of chunks and of pieces; about 300 bytes each.
-CHUNK_ENTRIES, PIECE_ENTRIES = 300_000, 600_000
+#: Entries a worker keeps of chunks and of pieces; about 250 bytes each; of either, two generations.
+CHUNK_ENTRIES, PIECE_ENTRIES = 300_000, 400_000
 _CHUNK = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+\Z")
+#: Without these, a space is never followed by white space.
+_SPACE_RUNS = ("  ", " \t", " \n", " \r", " \x0b", " \x0c")
 #: Letters here are stable under NFC and have the same lower case everywhere.
 _PLAIN = re.compile("[\\x21-\\x7e\u00c0-\u012f\u0131-\u024f]+", re.ASCII)
 _ODD = re.compile(r"[\x00-\x08\x0e-\x1f\x7f-\xa0\u0300-\u036f\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]")
@@ -37,6 +40,26 @@ def default_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+class Recent(dict):
+    """What was learnt lately, where ``learn`` gives anything: two generations of entries, of which the older one goes when the newer one is full."""
+
+    def __init__(self, learn, limit: int) -> None:
+        super().__init__()
+        self.learn, self.limit, self.older = learn, limit, {}
+
+    def __missing__(self, key: str) -> bytes:
+        got = self.older.get(key)
+        if got is None:
+            got = self.learn(key)
+            if got is None:
+                return b""
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        self[key] = got
+        return got
+
+
 class ChunkEncoder:
     """``encode(texts)`` gives, for each text, its ids as bytes (unsigned 32-bit, little-endian).
 
@@ -50,40 +73,47 @@ class ChunkEncoder:
         self.library.encode_special_tokens = True
         self.model = self.library.model
         self.drops_space = drops_space
-        self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.odd = False
+        self.chunks = Recent(self._learn, CHUNK_ENTRIES)
+        self.spaced = Recent(lambda part: self._learn(" " + part), CHUNK_ENTRIES)
+        self.pieces = Recent(self._piece, PIECE_ENTRIES)
 
     def _whole(self, text: str) -> bytes:
-        return np.asarray(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, chunk: str) -> bytes:
-        bare = chunk if self.drops_space else chunk.lstrip(" \t\n\r\x0b\x0c")
-        if not bare or not _PLAIN.fullmatch(bare):
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() and piece.isalnum() else piece.encode().decode("latin-1").translate(_BYTE_CHARS)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _learn(self, chunk: str) -> bytes | None:
+        bare = chunk.strip(" \t\n\r\x0b\x0c")
+        if not _PLAIN.fullmatch(bare):
+            if _ODD.search(chunk):
+                self.odd = True
+                return None
             return self._whole(chunk)
-        out, pieces = [], self.pieces
-        for piece in _LOWER_PATTERN.findall(chunk.lower()) if self.drops_space else _SPACE_PATTERN.findall(chunk):
-            got = pieces.get(piece)
-            if got is None:
-                tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(_BYTE_CHARS))
-                got = pieces[piece] = np.array([t.id for t in tokens], "<u4").tobytes()
-            out.append(got)
-        return b"".join(out)
+        pieces = self.pieces
+        own = chunk.lower() if self.drops_space else chunk
+        if bare == (chunk[1:] if chunk[0] == " " else chunk):  # the common forms: a word, a word and a mark
+            if bare.isalpha():
+                return pieces[own]
+            if bare[-1] in ".,!|:;" and bare[:-1].isalpha():
+                return pieces[own[:-1]] + pieces[own[-1]]
+        split = _LOWER_PATTERN if self.drops_space else _SPACE_PATTERN
+        return b"".join([pieces[p] for p in split.findall(own)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = str.split if self.drops_space else _CHUNK.findall
-        chunks, pieces, out = self.chunks, self.pieces, []
+        out = []
         for text in texts:
-            if _ODD.search(text):
-                out.append(self._whole(text))
-                continue
-            parts = split(text)
-            for new in set(parts).difference(chunks):
-                chunks[new] = self._learn(new)
-            out.append(b"".join(map(chunks.__getitem__, parts)))
-            if len(chunks) > CHUNK_ENTRIES:
-                chunks.clear()
-            if len(pieces) > PIECE_ENTRIES:
-                pieces.clear()
+            self.odd = False
+            if self.drops_space:
+                found = b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
+            elif any(x in text for x in _SPACE_RUNS):
+                found = b"".join(map(self.chunks.__getitem__, _CHUNK.findall(text)))
+            else:  # each space starts a chunk
+                first, *rest = text.split(" ")
+                found = self.chunks[first] + b"".join(map(self.spaced.__getitem__, rest))
+            out.append(self._whole(text) if self.odd else found)
         return out
 
 
