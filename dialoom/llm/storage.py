@@ -9,7 +9,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SCRATCH = "dialoom-scratch"
 
@@ -74,3 +75,14 @@ def release_all(since: int = 0) -> None:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def literal_table(values: list[float]) -> Column:
+    """An array of doubles that the optimizer folds into one literal: looked up in constant time, shipped with the plan."""
+    return F.split(F.lit(",".join(f"{v:.6g}" for v in values)), ",").cast("array<double>")
+
+
+def pinned(column: Column) -> Column:
+    """The same values, as a column that the optimizer neither inlines nor moves filters below. Otherwise a filter on a
+    column made of arrays, or the one that explode() implies, brings the arrays' expressions into each other's loops."""
+    return F.when(F.monotonically_increasing_id() >= 0, column)
