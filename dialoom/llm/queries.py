@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dialoom.llm.decontaminate import op6_contamination
+from dialoom.llm.line_dedup import op3_line_dedup
+from dialoom.llm.near_dedup import op9_near_dedup
 from dialoom.llm.packing import op2_packing
 from dialoom.llm.quality_rules import op8_quality_rules
 from dialoom.llm.secrets import op7_secrets
@@ -19,10 +21,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     docs = lambda spark, d: read_table(spark, d, "documents")
     return {
         "op2_packing": lambda s, d: op2_packing(docs(s, d)),
+        "op3_line_dedup": lambda s, d: op3_line_dedup(docs(s, d)),
         "op5_sharding": lambda s, d: op5_sharding(docs(s, d)),
         "op7_secrets": lambda s, d: op7_secrets(docs(s, d)),
         "op8_quality_rules": lambda s, d: op8_quality_rules(docs(s, d), read_table(s, d, "labels")),
         "op6_decontamination": lambda s, d: op6_contamination(docs(s, d), read_table(s, d, "benchmark")),
+        "op9_near_dedup": lambda s, d: op9_near_dedup(docs(s, d)),
         "op10_token_file": lambda s, d: op10_token_file(docs(s, d)),
     }
 
