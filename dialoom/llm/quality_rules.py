@@ -83,7 +83,7 @@ def with_cells(docs: DataFrame, buckets: int, ending: int) -> DataFrame:
 def log_ratios(docs: DataFrame, trusted_ids: DataFrame, buckets: int, ending: int, id_col: str = "doc_id", text_col: str = "text", smoothing: float = 1.0) -> list[float]:
     """The log ratio of target to raw probability for each cell, counted over all rows; ``2 * buckets`` values."""
     trusted = trusted_ids.select(F.col(id_col).alias("__id")).where(F.col("__id").isNotNull()).distinct().withColumn("__trusted", F.lit(1))
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(trusted, "__id", "left")
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(trusted.hint("merge"), "__id", "left")
     cells = with_cells(with_words(rows), buckets, ending).select(F.explode("__cells").alias("cell"), F.coalesce("__trusted", F.lit(0)).alias("t"))
     counts = cells.groupBy("cell").agg(F.count("*").alias("raw"), F.sum("t").alias("target")).collect()
     raw, target = [0] * (2 * buckets), [0] * (2 * buckets)
