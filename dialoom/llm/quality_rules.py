@@ -80,7 +80,7 @@ def with_cells(docs: DataFrame, buckets: int, ending: int) -> DataFrame:
     return out.withColumn("__cells", pinned(F.concat(uni, two))).drop("__ends")
 
 
-def log_ratios(docs: DataFrame, trusted_ids: DataFrame, buckets: int, ending: int, id_col: str = "doc_id", text_col: str = "text", smoothing: float = 1.0) -> list[float]:
+def log_ratios(docs: DataFrame, trusted_ids: DataFrame, buckets: int, ending: int, id_col: str = "doc_id", text_col: str = "text", prior: float = 1000.0) -> list[float]:
     """The log ratio of target to raw probability for each cell, counted over all rows; ``2 * buckets`` values."""
     trusted = trusted_ids.select(F.col(id_col).alias("__id")).where(F.col("__id").isNotNull()).distinct().withColumn("__trusted", F.lit(1))
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(trusted.hint("merge"), "__id", "left")
@@ -94,8 +94,10 @@ def log_ratios(docs: DataFrame, trusted_ids: DataFrame, buckets: int, ending: in
         n_raw, n_target = sum(raw[half]), sum(target[half])
         if not n_target:
             return [0.0] * (2 * buckets)
-        shift = math.log(n_raw + smoothing * buckets) - math.log(n_target + smoothing * buckets)
-        out += [math.log(t + smoothing) - math.log(r + smoothing) + shift for t, r in zip(target[half], raw[half], strict=True)]
+        # The target's prior is the raw distribution, worth ``prior`` n-grams: few trusted texts say little, at any size.
+        for t, r in zip(target[half], raw[half], strict=True):
+            share = r / n_raw
+            out.append(math.log((t + prior * share) / (n_target + prior) / share) if r else 0.0)
     return out
 
 
