@@ -36,29 +36,56 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         labels.scratch_path = path
 
 
-def bucket_components(banded: DataFrame, linked: Callable[[DataFrame], DataFrame], scratch: Scratch) -> DataFrame:
+def bucket_components(banded: DataFrame, linked: Callable[[DataFrame], DataFrame], scratch: Scratch, refined: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(node, component) of the links between nodes that share a bucket; nodes without links are left out.
 
     ``banded`` has a row (bucket, node) for each bucket of a node, ``linked`` keeps those of the pairs (a, b) that are
-    links. Each bucket first compares its members with its least one. Whoever is still in another component than
-    most of the bucket is then compared with all members of other components. So every pair of a bucket has been
-    compared or lies in one component, while a bucket of n near copies costs about n comparisons.
-    """
-    hubs = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("hub")).where("n > 1").select("bucket", "hub")
-    hubs = scratch.save(hubs, "hubs")
-    crowded = scratch.save(banded.join(hubs, "bucket"), "crowded")
-    stars = crowded.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = scratch.save(linked(stars), "links")
-    found = components(links, scratch)
+    links. Each bucket first compares its members with one of them, the one that meets most nodes in all its buckets: of
+    near copies, that is the text they were made from, or the copy closest to it. What lies in different components
+    after that is compared as well, so every pair of a bucket has been compared or lies in one component, while a
+    bucket of n near copies of one text costs about n comparisons.
 
-    placed = scratch.save(crowded.join(found, "node", "left").select("bucket", "hub", "node", F.coalesce("component", "node").alias("component")), "placed")
-    torn = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo < hi and n > 2").select("bucket")
-    rest = scratch.save(placed.join(scratch.save(torn, "torn"), "bucket", "left_semi"), "rest")
-    sizes = rest.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    ``refined`` gives other buckets for a frame of nodes, in which every pair that can be a link meets again. It is
+    asked once, for the nodes of buckets in several components, so that texts that are alike but not alike enough
+    part ways before they are compared one by one.
+    """
+    shared, links, found = _stars(banded, None, linked, scratch)
+    torn = _torn(shared, found, scratch)
+    if refined is not None and torn.limit(1).count():
+        nodes = scratch.save(torn.select("node").distinct(), "torn-nodes")
+        shared, more, found = _stars(scratch.save(refined(nodes), "refined"), links, linked, scratch, found)
+        links = scratch.save(links.unionByName(more), "links")
+        torn = _torn(shared, found, scratch)
+    sizes = torn.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     largest = scratch.save(sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("m")).select("bucket", F.col("m.component").alias("main")), "largest")
-    sides = scratch.save(rest.join(largest, "bucket"), "sides")
-    outside = sides.where("component <> main and node <> hub").select("bucket", F.col("node").alias("x"), F.col("component").alias("cx"))
-    across = sides.where("node <> hub").join(scratch.save(outside, "outside"), "bucket").where("component <> cx")
+    sides = scratch.save(torn.where("node <> hub").join(largest, "bucket"), "sides")
+    outside = scratch.save(sides.where("component <> main").select("bucket", F.col("node").alias("x"), F.col("component").alias("cx")), "outside")
+    across = sides.join(outside, "bucket").where("component <> cx")
     across = across.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
     more = scratch.save(linked(across), "links")
     return components(links.unionByName(more), scratch)
+
+
+def _stars(banded: DataFrame, before: DataFrame | None, linked: Callable[[DataFrame], DataFrame], scratch: Scratch, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(bucket, node, hub) of buckets with company; the links between members and hubs; the components of all links.
+    Pairs known to lie in one component are not compared again."""
+    sizes = scratch.save(banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+    shared = scratch.save(banded.join(sizes, "bucket"), "shared")
+    met = scratch.save(shared.groupBy("node").agg(F.sum("n").alias("met")), "met")
+    hubs = scratch.save(shared.join(met, "node").groupBy("bucket").agg(F.max_by("node", "met").alias("hub")), "hubs")
+    crowded = scratch.save(shared.drop("n").join(hubs, "bucket"), "crowded")
+    scratch.drop(shared)
+    pairs = crowded.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    if known is not None:
+        ends = [known.withColumnsRenamed({"node": x, "component": f"c{x}"}) for x in ("a", "b")]
+        placed = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left")
+        pairs = placed.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    links = scratch.save(linked(pairs), "links")
+    return crowded, links, components(links if before is None else before.unionByName(links), scratch)
+
+
+def _torn(shared: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
+    """(bucket, hub, node, component) of the buckets whose members, hub aside, may hold pairs not compared yet."""
+    placed = scratch.save(shared.join(found, "node", "left").select("bucket", "hub", "node", F.coalesce("component", "node").alias("component")), "placed")
+    torn = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo < hi and n > 2").select("bucket")
+    return scratch.save(placed.join(scratch.save(torn, "torn"), "bucket", "left_semi"), "rest")

@@ -5,7 +5,9 @@
 2. A class has a signature of ``bands * rows`` minima. Classes that agree in all rows of a band are candidates.
    Each bucket links its members to one of them, the one of smallest hash, and components are taken; then every pair
    of a bucket whose ends lie in different components is compared as well, so no link between components is lost,
-   and a bucket of n near copies costs n comparisons, not n * n.
+   and a bucket of n near copies costs n comparisons, not n * n. Before that, the members of such buckets are dealt
+   anew by their rarest shingles (prefix filter, which is exact): texts of a family that are alike, but not alike
+   enough, mostly part there.
 3. A candidate pair's signatures are compared in batches. After each batch the pair is dropped if the posterior
    probability that its similarity reaches the threshold, given the matches so far and a uniform prior, is under
    ``miss``. The least number of matches that survives is a table by batch, computed once.
@@ -25,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dialoom.llm.graph import bucket_components
@@ -167,6 +170,31 @@ def _sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> Data
     return wanted.mapInArrow(make, "node long, shingles binary").where("length(shingles) > 0").dropDuplicates(["node"])
 
 
+def _prefix_buckets(docs: DataFrame, nodes: DataFrame, percent: int, scratch: Scratch, id_col: str, text_col: str) -> DataFrame:
+    """(bucket, node): the rarest shingles of each node, for each class of sizes that a partner can have: as many as the
+    set can lack at the least overlap for such a partner, plus one. Two sets that reach the similarity share one of
+    these; near copies that differ too much mostly do not."""
+
+    def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(v.as_buffer(), "<i8") for v in batch.column(1)]
+            for at in range(len(sets)):
+                n = len(sets[at])
+                node = pa.array(np.full(n, batch.column(0)[at].as_py(), np.int64))
+                yield pa.RecordBatch.from_arrays([node, pa.array(sets[at]), pa.array(np.full(n, n, np.int64))], ["node", "shingle", "size"])
+
+    held = scratch.save(_sets(docs, nodes, id_col, text_col).select("node", "shingles").mapInArrow(spread, "node long, shingle long, size long"), "shingles")
+    counts = scratch.save(held.groupBy("shingle").agg(F.count("*").alias("n")), "shingle-counts")
+    ranked = held.join(counts, "shingle").withColumn("at", F.row_number().over(W.partitionBy("node").orderBy("n", "shingle")))
+    size, grow = F.col("size"), math.log(1.05)
+    step = lambda x: F.floor(F.log(x.cast("double")) / grow).cast("int")
+    ranked = ranked.where((F.col("n") > 1) & (F.col("at") <= size - F.ceil(size * percent / 100 - 1e-9) + 1))
+    ranked = ranked.select("node", "shingle", "size", "at", step(size).alias("own"), F.explode(F.sequence(step(F.greatest(size * percent / 100 - 1, F.lit(1))), step(size * 100 / percent + 1))).alias("other"))
+    overlap = F.ceil((size + F.ceil(F.pow(F.lit(1.05), "other") - 1e-6)) * percent / (100 + percent) - 1e-6)
+    fits = ranked.where(F.col("at") <= size - overlap + 1)
+    return fits.select(F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other")).alias("bucket"), "node").distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, batch: int = BATCH, miss: float = MISS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document row: id, n_shingles, component_id and kept. Ids are long."""
     scratch = Scratch(docs.sparkSession, "near-dedup")
@@ -176,7 +204,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     table = least_matches(bands * rows, batch, percent / 100, miss)
 
     links = lambda pairs: _linked(docs, pairs, classes, table, percent, scratch, id_col, text_col)
-    found = bucket_components(_bands(classes, bands, rows), links, scratch)
+    prefixes = lambda nodes: _prefix_buckets(docs, nodes, percent, scratch, id_col, text_col)
+    found = bucket_components(_bands(classes, bands, rows), links, scratch, prefixes)
     by_class = classes.select("set_key", "node").join(found, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
     by_class = scratch.save(by_class, "components")
     out = sketched.drop("signature").join(by_class, "set_key", "left")
