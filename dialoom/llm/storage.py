@@ -6,13 +6,16 @@ executors and leaves a file that can be read again. Nothing here touches a machi
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SCRATCH = "dialoom-scratch"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +43,17 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Jobs in here leave no shuffle files: what they made is in the table that they wrote."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
+
+
 class Scratch:
     """One folder of intermediate tables. ``save`` writes and rereads a frame, ``drop`` removes a table that was
     superseded, ``close`` removes all of them, once nothing reads the results that were built on them."""
@@ -55,7 +69,8 @@ class Scratch:
     def save(self, df: DataFrame, name: str) -> DataFrame:
         self.count += 1
         at = f"{self.path}/{self.count:03d}-{name}"
-        df.write.parquet(at)
+        with shuffles_removed(self.spark):
+            df.write.parquet(at)
         out = self.spark.read.schema(df.schema).parquet(at)
         out.scratch_path = at
         return out
