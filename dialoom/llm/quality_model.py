@@ -154,7 +154,7 @@ def score_documents(docs: DataFrame, trusted_ids: DataFrame, quantile: float = 0
     scratch = Scratch(docs.sparkSession, "quality-model")
     ids = trusted_ids.select(F.col(id_col).alias("__id")).where("__id is not null").distinct()
     rows = docs.select(F.col(id_col), F.col(text_col), F.col(lang_col))
-    orders = train(rows.join(ids, rows[id_col] == F.col("__id"), "left_semi"), scratch, text_col)
+    orders = train(rows.join(ids.hint("merge"), rows[id_col] == F.col("__id"), "left_semi"), scratch, text_col)
     scored = scratch.save(perplexities(rows, orders, text_col), "scored")
     known = scored.join(ids, scored[id_col] == F.col("__id"), "left_semi").where("perplexity is not null")
     limit = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000))
