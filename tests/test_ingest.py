@@ -148,7 +148,7 @@ def test_review_and_export(spark, tmp_path):
 
 
 PAGE = """<html><body><article><h1>T</h1>lead<h2>A</h2><p>first <b>x</b> <b>y</b><a class="wikiFootnote" href="#f1">[1]</a></p>
-<nav>toc</nav><h4>Deep</h4><p>a &amp;amp;lt; b<br>c<br><br>d [[link]]</p><h2>B</h2><p>before<img>after</p>
+<nav>toc</nav><h4>Deep</h4><p>a &amp;lt; b<br>c<br><br>d [[link]]</p><h2>B</h2><p>before<img>after</p>
 <span class="footnote-list" id="f1"><p>note one</p><p>more</p></span></article></body></html>"""
 
 
