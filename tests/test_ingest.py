@@ -159,7 +159,7 @@ def test_wiki_page():
     assert found[0]["footnote_refs"] == ["f1"] and found[5]["footnote_id"] == "f1"
 
 
-@pytest.mark.parametrize("old, new, message", [("<article>", "<div>", "missing"), ("</article>", "", "unclosed"), ("</body>", "</body><p>", "unclosed HTML"), ('href="#f1"', 'href="#f9"', "unresolved"), ("<h2>A</h2>", "<article><h2>A</h2>", "multiple")])
+@pytest.mark.parametrize("old, new, message", [("<article>", "<div>", "missing"), ("</article>", "", "unclosed"), ("</html>", "", "unclosed HTML"), ('href="#f1"', 'href="#f9"', "unresolved"), ("</article>", "</article><article></article>", "multiple")])
 def test_broken_pages(old, new, message):
     assert message in (wiki.read_page(PAGE.replace(old, new))[1] or "")
 
