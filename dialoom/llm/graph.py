@@ -45,15 +45,14 @@ def bucket_components(banded: DataFrame, linked: Callable[[DataFrame], DataFrame
     after that is compared as well, so every pair of a bucket has been compared or lies in one component, while a
     bucket of n near copies of one text costs about n comparisons.
 
-    ``refined`` gives other buckets for a frame of nodes, in which every pair that can be a link meets again. It is
-    asked once, for the nodes of buckets in several components, so that texts that are alike but not alike enough
+    ``refined`` gives other buckets for those in several components, (bucket, hub, node, component), in which every pair
+    of such a bucket that can be a link meets again. It is asked once, so that texts that are alike but not alike enough
     part ways before they are compared one by one.
     """
     shared, links, found = _stars(banded, None, linked, scratch)
     torn = _torn(shared, found, scratch)
     if refined is not None and torn.limit(1).count():
-        nodes = scratch.save(torn.select("node").distinct(), "torn-nodes")
-        shared, more, found = _stars(scratch.save(refined(nodes), "refined"), links, linked, scratch, found)
+        shared, more, found = _stars(scratch.save(refined(torn), "refined"), links, linked, scratch, found)
         links = scratch.save(links.unionByName(more), "links")
         torn = _torn(shared, found, scratch)
     sizes = torn.groupBy("bucket", "component").agg(F.count("*").alias("n"))

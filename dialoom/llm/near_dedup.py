@@ -6,8 +6,8 @@
    Each bucket links its members to one of them, the one of smallest hash, and components are taken; then every pair
    of a bucket whose ends lie in different components is compared as well, so no link between components is lost,
    and a bucket of n near copies costs n comparisons, not n * n. Before that, the members of such buckets are dealt
-   anew by their rarest shingles (prefix filter, which is exact): texts of a family that are alike, but not alike
-   enough, mostly part there.
+   anew by the rarest of the shingles in which they differ from one text of the family (a prefix filter, which is
+   exact): texts that are alike, but not alike enough, mostly part there.
 3. A candidate pair's signatures are compared in batches. After each batch the pair is dropped if the posterior
    probability that its similarity reaches the threshold, given the matches so far and a uniform prior, is under
    ``miss``. The least number of matches that survives is a table by batch, computed once.
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from dialoom.llm.graph import bucket_components
+from dialoom.llm.graph import bucket_components, components
 from dialoom.llm.storage import Scratch
 from dialoom.llm.tokens import small_batches
 
@@ -170,29 +170,50 @@ def _sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> Data
     return wanted.mapInArrow(make, "node long, shingles binary").where("length(shingles) > 0").dropDuplicates(["node"])
 
 
-def _prefix_buckets(docs: DataFrame, nodes: DataFrame, percent: int, scratch: Scratch, id_col: str, text_col: str) -> DataFrame:
-    """(bucket, node): the rarest shingles of each node, for each class of sizes that a partner can have: as many as the
-    set can lack at the least overlap for such a partner, plus one. Two sets that reach the similarity share one of
-    these; near copies that differ too much mostly do not."""
+def _difference_buckets(docs: DataFrame, torn: DataFrame, percent: int, scratch: Scratch, id_col: str, text_col: str) -> DataFrame:
+    """(bucket, node) for the members of torn buckets (hub, node): every pair of a torn bucket that can be a link meets.
+
+    Nodes joined by torn buckets are a cluster, with one reference text R. With D(x) the symmetric difference of x and R,
+    that of x and y is D(x) less D(y) and the reverse, so x and y are a link just if D(x) and D(y) share
+    ``(e(x) + e(y)) / 2`` elements, where ``e(x) = |D(x)| - c * |x|`` and ``c = (100 - percent) / (100 + percent)``. So
+    a node lies under the rarest elements of D(x), as many as it can have besides that number, plus one, for each class
+    of e (steps of a quarter) that is in its cluster; where the number is not above 0, under one bucket for all. Texts of
+    one family that are alike but not alike enough share most of their shingles, but not what they lack or add.
+    """
+    c, grow = (100 - percent) / (100 + percent), 1.25
 
     def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.frombuffer(v.as_buffer(), "<i8") for v in batch.column(1)]
-            for at in range(len(sets)):
-                n = len(sets[at])
-                node = pa.array(np.full(n, batch.column(0)[at].as_py(), np.int64))
-                yield pa.RecordBatch.from_arrays([node, pa.array(sets[at]), pa.array(np.full(n, n, np.int64))], ["node", "shingle", "size"])
-
-    held = scratch.save(_sets(docs, nodes, id_col, text_col).select("node", "shingles").mapInArrow(spread, "node long, shingle long, size long"), "shingles")
-    counts = scratch.save(held.groupBy("shingle").agg(F.count("*").alias("n")), "shingle-counts")
-    ranked = held.join(counts, "shingle").withColumn("at", F.row_number().over(W.partitionBy("node").orderBy("n", "shingle")))
-    size, grow = F.col("size"), math.log(1.05)
-    step = lambda x: F.floor(F.log(x.cast("double")) / grow).cast("int")
-    ranked = ranked.where((F.col("n") > 1) & (F.col("at") <= size - F.ceil(size * percent / 100 - 1e-9) + 1))
-    ranked = ranked.select("node", "shingle", "size", "at", step(size).alias("own"), F.explode(F.sequence(step(F.greatest(size * percent / 100 - 1, F.lit(1))), step(size * 100 / percent + 1))).alias("other"))
-    overlap = F.ceil((size + F.ceil(F.pow(F.lit(1.05), "other") - 1e-6)) * percent / (100 + percent) - 1e-6)
-    fits = ranked.where(F.col("at") <= size - overlap + 1)
-    return fits.select(F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other")).alias("bucket"), "node").distinct()
+            for i in range(batch.num_rows):
+                own, base = (np.frombuffer(batch.column(k)[i].as_buffer(), "<i8") for k in (2, 3))
+                diff = np.setxor1d(own, base)
+                n = len(diff) + 1
+                columns = [pa.array(np.full(n, batch.column(k)[i].as_py(), np.int64)) for k in (0, 1)]
+                element = pa.concat_arrays([pa.array(diff, pa.int64()), pa.nulls(1, pa.int64())])
+                yield pa.RecordBatch.from_arrays([*columns, element, pa.array(np.full(n, len(diff), np.int64)), pa.array(np.full(n, len(diff) - c * len(own))), pa.array(np.full(n, c * len(base) + 1))], ["cluster", "node", "element", "d", "e", "low"])
+
+    edges = scratch.save(torn.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "torn-edges")
+    clusters = components(edges, scratch).withColumnRenamed("component", "cluster")
+    votes = edges.join(clusters, edges.a == clusters.node).groupBy("cluster", "a").agg(F.count("*").alias("n"))
+    refs = votes.groupBy("cluster").agg(F.max(F.struct("n", "a")).alias("m")).select("cluster", F.col("m.a").alias("ref"))
+    members = scratch.save(clusters.join(refs, "cluster"), "members")
+    sets = scratch.save(_sets(docs, members.select("node"), id_col, text_col).select("node", "shingles"), "torn-sets")
+    x = members.join(sets, "node").join(sets.withColumnsRenamed({"node": "ref", "shingles": "base"}), "ref").select("cluster", "node", "shingles", "base")
+    held = scratch.save(x.mapInArrow(spread, "cluster long, node long, element long, d long, e double, low double"), "differences")
+    held = held.withColumn("own", F.floor(F.log(F.col("e") + F.col("low") + 1e-9) / math.log(grow)).cast("int"))
+    whole = held.where("element is null")
+    # classes of e: a logarithm of the longest text's size at most
+    present = scratch.save(whole.groupBy("cluster").agg(F.collect_set("own").alias("others")), "present")
+    counts = held.where("element is not null").groupBy("cluster", "element").agg(F.count("*").alias("n")).where("n > 1")
+    node = W.partitionBy("cluster", "node")
+    ranked = held.join(scratch.save(counts, "element-counts"), ["cluster", "element"])
+    ranked = ranked.withColumn("at", F.row_number().over(node.orderBy("n", "element")) + F.col("d") - F.count("*").over(node))
+    most = F.col("e") + F.pow(F.lit(grow), F.col("other")) - F.col("low") - 1e-6
+    pair = [F.least("own", "other"), F.greatest("own", "other")]
+    ranked = ranked.join(present, "cluster").withColumn("other", F.explode("others")).where(F.col("at") <= F.col("d") - F.ceil(most / 2) + 1)
+    whole = whole.join(present, "cluster").withColumn("other", F.explode("others")).where(most <= 0)
+    out = ranked.select(F.xxhash64("cluster", "element", *pair).alias("bucket"), "node")
+    return out.unionByName(whole.select(F.xxhash64(F.lit("all"), "cluster", *pair).alias("bucket"), "node")).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, batch: int = BATCH, miss: float = MISS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -204,8 +225,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     table = least_matches(bands * rows, batch, percent / 100, miss)
 
     links = lambda pairs: _linked(docs, pairs, classes, table, percent, scratch, id_col, text_col)
-    prefixes = lambda nodes: _prefix_buckets(docs, nodes, percent, scratch, id_col, text_col)
-    found = bucket_components(_bands(classes, bands, rows), links, scratch, prefixes)
+    parted = lambda torn: _difference_buckets(docs, torn, percent, scratch, id_col, text_col)
+    found = bucket_components(_bands(classes, bands, rows), links, scratch, parted)
     by_class = classes.select("set_key", "node").join(found, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
     by_class = scratch.save(by_class, "components")
     out = sketched.drop("signature").join(by_class, "set_key", "left")

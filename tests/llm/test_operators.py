@@ -240,6 +240,7 @@ def test_near_duplicates_match_brute_force(spark):
 
     base = prose(200, 77)
     texts = TEXTS[:-1] + [edited(base, n % 5, n) for n in range(40)] + [edited(prose(100, 78), n % 4, n) for n in range(20)] + [base.upper(), prose(300, 79)] * 2
+    texts += [edited(prose(200, 80), 3, n) for n in range(100, 170)] + [edited(prose(150, 81), n % 3 + 1, n) for n in range(200, 240)]
     want, sizes = brute_components(texts)
     got = by_id(near_dedup.op9_near_dedup(frame(spark, texts)))
     assert [got[i].component_id for i in range(len(texts))] == want
