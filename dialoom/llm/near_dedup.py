@@ -192,9 +192,12 @@ def _difference_buckets(docs: DataFrame, torn: DataFrame, percent: int, scratch:
                 element = pa.concat_arrays([pa.array(diff, pa.int64()), pa.nulls(1, pa.int64())])
                 yield pa.RecordBatch.from_arrays([*columns, element, pa.array(np.full(n, len(diff), np.int64)), pa.array(np.full(n, len(diff) - c * len(own))), pa.array(np.full(n, c * len(base) + 1))], ["cluster", "node", "element", "d", "e", "low"])
 
-    edges = scratch.save(torn.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "torn-edges")
-    clusters = components(edges, scratch).withColumnRenamed("component", "cluster")
-    votes = edges.join(clusters, edges.a == clusters.node).groupBy("cluster", "a").agg(F.count("*").alias("n"))
+    edges = scratch.save(torn.select("hub", "node").distinct(), "torn-edges")
+    # a node goes with its least hub, which is joined with its other hubs: the graph is one of hubs alone
+    least = scratch.save(edges.groupBy("node").agg(F.min("hub").alias("a")), "least-hubs")
+    found = components(edges.join(least, "node").where("a <> hub").select("a", F.col("hub").alias("b")).distinct(), scratch)
+    clusters = least.join(found.withColumnRenamed("node", "a"), "a", "left").select("node", F.coalesce("component", "a").alias("cluster"))
+    votes = edges.join(clusters, "node").groupBy("cluster", F.col("hub").alias("a")).agg(F.count("*").alias("n"))
     refs = votes.groupBy("cluster").agg(F.max(F.struct("n", "a")).alias("m")).select("cluster", F.col("m.a").alias("ref"))
     members = scratch.save(clusters.join(refs, "cluster"), "members")
     sets = scratch.save(_sets(docs, members.select("node"), id_col, text_col).select("node", "shingles"), "torn-sets")
