@@ -101,3 +101,11 @@ def pinned(column: Column) -> Column:
     """The same values, as a column that the optimizer neither inlines nor moves filters below. Otherwise a filter on a
     column made of arrays, or the one that explode() implies, brings the arrays' expressions into each other's loops."""
     return F.when(F.monotonically_increasing_id() >= 0, column)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
