@@ -57,9 +57,13 @@ def bucket_components(banded: DataFrame, linked: Callable[[DataFrame], DataFrame
         torn = _torn(shared, found, scratch)
     sizes = torn.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     largest = scratch.save(sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("m")).select("bucket", F.col("m.component").alias("main")), "largest")
-    sides = scratch.save(torn.where("node <> hub").join(largest, "bucket"), "sides")
-    outside = scratch.save(sides.where("component <> main").select("bucket", F.col("node").alias("x"), F.col("component").alias("cx")), "outside")
-    across = sides.join(outside, "bucket").where("component <> cx")
+    # two nodes may share many buckets: they meet in the least of them alone
+    owned = torn.where("node <> hub").groupBy("node").agg(F.collect_list("bucket").alias("own"))
+    sides = torn.where("node <> hub").join(largest, "bucket").join(owned, "node")
+    sides = scratch.save(sides.select("bucket", "node", "component", (F.col("component") != F.col("main")).alias("out"), "own"), "sides")
+    outside = scratch.save(sides.where("out").select("bucket", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("own").alias("ox")), "outside")
+    once = F.array_min(F.array_intersect("own", "ox")) == sides["bucket"]
+    across = sides.join(outside, (sides["bucket"] == outside["bucket"]) & F.expr("component <> cx and (not out or node < x)") & once)
     across = across.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
     more = scratch.save(linked(across), "links")
     return components(links.unionByName(more), scratch)

@@ -14,8 +14,9 @@
 4. Survivors are checked on the full shingle sets.
 
 A link at the threshold escapes all bands with probability (1 - t**rows)**bands, 8e-6 at the defaults.
-Null texts and texts without words have no shingles and link with nothing. Rows with the same id: each row keeps its
-own result; their sets are compared like those of other rows. Ids must not be null to take part.
+Null texts and texts without words have no shingles and link with nothing. Rows are numbered and compared as rows, so
+repeated and null ids take part like others: a component's id is the least one in it, null where it has no other, and
+rows that share the least id of their component are all marked as kept. ``drop_near_duplicates`` keeps one row.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dialoom.llm.graph import bucket_components, components
-from dialoom.llm.storage import Scratch
+from dialoom.llm.storage import Scratch, free_name
 from dialoom.llm.tokens import small_batches
 
 SHINGLE, PERCENT, BANDS, ROWS, BATCH, MISS = 5, 85, 20, 5, 20, 1e-6
@@ -219,22 +220,30 @@ def _difference_buckets(docs: DataFrame, torn: DataFrame, percent: int, scratch:
     return out.unionByName(whole.select(F.xxhash64(F.lit("all"), "cluster", *pair).alias("bucket"), "node")).distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, batch: int = BATCH, miss: float = MISS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document row: id, n_shingles, component_id and kept. Ids are long."""
-    scratch = Scratch(docs.sparkSession, "near-dedup")
-    sketched = scratch.save(sketches(docs, id_col, text_col, bands * rows), "sketches")
-    shown = sketched.where("set_key is not null").where(F.col(id_col).isNotNull())
-    classes = scratch.save(shown.groupBy("set_key").agg(F.min(id_col).alias("node"), F.first("signature").alias("signature")), "classes")
-    table = least_matches(bands * rows, batch, percent / 100, miss)
-
-    links = lambda pairs: _linked(docs, pairs, classes, table, percent, scratch, id_col, text_col)
-    parted = lambda torn: _difference_buckets(docs, torn, percent, scratch, id_col, text_col)
-    found = bucket_components(_bands(classes, bands, rows), links, scratch, parted)
+def row_components(rows: DataFrame, rid: str, scratch: Scratch, percent: int = PERCENT, bands: int = BANDS, rows_per_band: int = ROWS, batch: int = BATCH, miss: float = MISS, text_col: str = "text") -> DataFrame:
+    """(rid, n_shingles, component): ``rid`` is a long that numbers the rows, a component goes by the least of its own."""
+    sketched = scratch.save(sketches(rows, rid, text_col, bands * rows_per_band), "sketches")
+    classes = sketched.where("set_key is not null").groupBy("set_key").agg(F.min(rid).alias("node"), F.first("signature").alias("signature"))
+    classes = scratch.save(classes, "classes")
+    table = least_matches(bands * rows_per_band, batch, percent / 100, miss)
+
+    links = lambda pairs: _linked(rows, pairs, classes, table, percent, scratch, rid, text_col)
+    parted = lambda torn: _difference_buckets(rows, torn, percent, scratch, rid, text_col)
+    found = bucket_components(_bands(classes, bands, rows_per_band), links, scratch, parted)
     by_class = classes.select("set_key", "node").join(found, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
     by_class = scratch.save(by_class, "components")
     out = sketched.drop("signature").join(by_class, "set_key", "left")
-    least = F.coalesce("component", id_col)
-    return out.select(id_col, "n_shingles", least.alias("component_id"), least.eqNullSafe(F.col(id_col)).alias("kept"))
+    return out.select(F.col(rid).alias("rid"), "n_shingles", F.coalesce("component", rid).alias("component"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Per document row: id, n_shingles, component_id (the least id of the component) and kept (it is the row's own)."""
+    scratch = Scratch(docs.sparkSession, "near-dedup")
+    rows = scratch.save(docs.select(F.monotonically_increasing_id().alias("__row"), F.col(id_col).alias("__id"), F.col(text_col).alias("__text")), "rows")
+    found = row_components(rows, "__row", scratch, text_col="__text", **options)
+    named = scratch.save(rows.select("__row", "__id").join(found, F.col("__row") == F.col("rid")).drop("rid"), "named")
+    least = named.groupBy("component").agg(F.min("__id").alias("component_id"))
+    return named.join(least, "component").select(F.col("__id").alias(id_col), "n_shingles", "component_id", F.col("component_id").eqNullSafe(F.col("__id")).alias("kept"))
 
 
 def _linked(docs: DataFrame, pairs: DataFrame, classes: DataFrame, table: list[tuple[int, int]], percent: int, scratch: Scratch, id_col: str, text_col: str) -> DataFrame:
@@ -244,10 +253,15 @@ def _linked(docs: DataFrame, pairs: DataFrame, classes: DataFrame, table: list[t
     return _verify(alive, sets, percent)
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents, with their own columns, less all but one of each component."""
-    gone = near_duplicates(docs, id_col=id_col, **options).where("not kept").select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents, with their own columns, less all but one row of each component: that of the least id, null last."""
+    scratch = Scratch(docs.sparkSession, "near-dedup")
+    rid = free_name(docs, "__row")
+    rows = scratch.save(docs.withColumn(rid, F.monotonically_increasing_id()), "rows")
+    found = row_components(rows, rid, scratch, text_col=text_col, **options)
+    named = scratch.save(rows.select(rid, F.col(id_col).alias("id")).join(found, F.col(rid) == F.col("rid")).select("rid", "id", "component"), "named")
+    stays = named.groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", "rid")).alias("least")).select(F.col("least.rid").alias("__stays"))
+    return rows.join(stays, F.col(rid) == F.col("__stays"), "left_semi").drop(rid)
 
 
 def op9_near_dedup(docs: DataFrame) -> DataFrame:
