@@ -70,7 +70,8 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        # strings of special tokens in a text are these tokens, as in a plain call: such a text goes to the library whole
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.model = self.library.model
         self.drops_space = drops_space
         self.odd = False
@@ -106,6 +107,9 @@ class ChunkEncoder:
         out = []
         for text in texts:
             self.odd = False
+            if any(x in text for x in self.special):
+                out.append(self._whole(text))
+                continue
             if self.drops_space:
                 found = b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
             elif any(x in text for x in _SPACE_RUNS):

@@ -47,7 +47,6 @@ def encoded(name):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokens.default_path(name))
-    t.encode_special_tokens = True
     return lambda x: np.array([*t.encode(x or "", add_special_tokens=False).ids, 2], "<u4").tobytes()
 
 
