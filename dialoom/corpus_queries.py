@@ -269,10 +269,10 @@ def _(t):
     return subtitles.export(*notes(t)).select("subtitle_id", F.col("n").cast("long").alias("n"), "text", "disposition")
 
 
-@query("annotation_upsert", "SELECT doc_id, CAST(quality AS BIGINT) AS quality FROM labels WHERE doc_id % 4 <> 0 UNION ALL SELECT doc_id, CAST(9 AS BIGINT) FROM documents WHERE doc_id % 4 = 0")
+@query("annotation_upsert", "SELECT doc_id, CAST(quality AS BIGINT) AS quality FROM labels UNION ALL SELECT doc_id, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def _(t):
-    new = t("documents").where("doc_id % 4 = 0").select("doc_id", F.lit(9).cast("long").alias("quality"))
-    return subtitles.upsert(t("labels").select("doc_id", F.col("quality").cast("long").alias("quality")), new, "doc_id")
+    old = t("documents").select("doc_id", F.col("n_chars").alias("quality"))
+    return subtitles.upsert(old, t("labels").select("doc_id", F.col("quality").cast("long").alias("quality")), "doc_id")
 
 
 @query("dataset_version", """SELECT source, 'ds1-' || sha256('{"manifest_digest":"' || sha256(source) || '","parser_version":"p1","persona_config_digest":"c1","scheme":"ds1"}')[1:16] AS dataset_version FROM (SELECT DISTINCT source FROM documents)""")

@@ -32,8 +32,10 @@ def unescape(values: pd.Series) -> pd.Series:
 
 
 def nfc(text: Column) -> Column:
-    """Only texts outside ASCII go to Python."""
-    return F.when(text.rlike("[^\\x00-\\x7f]"), _nfc(text)).otherwise(text)
+    """Python gets texts outside ASCII, and a null for each of the others: a function runs on every row, whatever
+    condition stands around it."""
+    other = F.when(text.rlike("[^\\x00-\\x7f]"), text)
+    return F.coalesce(_nfc(other), text)
 
 
 def strip(text: Column) -> Column:
@@ -57,7 +59,7 @@ def normalize(text: Column, compose: bool = True) -> Column:
 
 def speaker_key(text: Column) -> Column:
     plain = normalize(text)
-    return F.when(plain.rlike("[^\\x00-\\x7f]"), _folded(plain)).otherwise(F.lower(plain))
+    return F.coalesce(_folded(F.when(plain.rlike("[^\\x00-\\x7f]"), plain)), F.lower(plain))
 
 
 def merge_lines(lines: Column) -> Column:

@@ -90,10 +90,10 @@ def mismatched(rows: DataFrame, declared: DataFrame) -> DataFrame:
 
 
 def miscounted(rows: DataFrame, declared: DataFrame, column: str) -> DataFrame:
-    """Declared sources whose number of rows is another one."""
+    """Declared sources whose number of rows is another one, or that declare none."""
     actual = rows.groupBy("source_id").agg(F.count("*").alias("actual"))
     joined = declared.join(actual, "source_id", "left").withColumn("actual", F.coalesce("actual", F.lit(0)))
-    return joined.where(F.col(column) != F.col("actual")).select("source_id", F.col(column).alias("declared"), "actual")
+    return joined.where(~F.col(column).eqNullSafe(F.col("actual"))).select("source_id", F.col(column).alias("declared"), "actual")
 
 
 def summary(rows: DataFrame, declared: DataFrame, quarantine: DataFrame | None = None, short_text_max: int = SHORT) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Speaker resolution: an equi-join with the alias dimension, which holds a persona file and so is broadcast."""
+"""Speaker resolution: an equi-join with the alias dimension; its size decides how it is joined."""
 
 from __future__ import annotations
 
@@ -7,14 +7,10 @@ from pyspark.sql import functions as F
 
 from dialoom.functions import text
 
-#: Alias rows up to which the dimension is broadcast.
-BROADCAST_ALIASES = 100_000
 
-
-def resolve(rows: DataFrame, aliases: DataFrame, speaker: str = "speaker_raw", count: int = 0) -> DataFrame:
+def resolve(rows: DataFrame, aliases: DataFrame, speaker: str = "speaker_raw") -> DataFrame:
     """Adds ``kind`` (persona, non_dialogue, unknown) and ``persona_id``. A key that is both counts as non-dialogue."""
     ranked = aliases.groupBy("key").agg(F.min_by(F.struct("kind", "persona_id"), "kind").alias("r")).select("key", "r.kind", "r.persona_id")
-    ranked = F.broadcast(ranked) if count <= BROADCAST_ALIASES else ranked
     keyed = rows.withColumn("__key", text.speaker_key(text.without_qualifier(F.col(speaker))))
     found = keyed.join(ranked, (F.col("__key") == F.col("key")) & (F.col("__key") != ""), "left")
     return found.withColumn("kind", F.coalesce("kind", F.lit("unknown"))).drop("__key", "key")

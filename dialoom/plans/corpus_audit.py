@@ -54,6 +54,9 @@ def build(spark: SparkSession, corpus: Path, short_text_max: int = audit.SHORT)
     ids = [s["source_id"] for s in listed]
     if len(set(ids)) < len(ids):
         raise ConfigError("run_report.json: a source is listed twice")
+    for s in listed:
+        if wrong := [c for c in ("target", "quarantined") if not isinstance(s.get(c), int)]:
+            raise ConfigError(f"run_report.json: {s['source_id']}: {wrong[0]} is no whole number")
     if digests.corpus_version({s["source_id"]: s["dataset_version"] for s in listed}) != run.get("dataset_version"):
         raise ConfigError("run_report.json: dataset_version isn't that of its sources")
     declared = spark.createDataFrame([(s["source_id"], s["dataset_version"], s.get("target"), s.get("quarantined")) for s in listed], "source_id string, dataset_version string, target long, quarantined long")

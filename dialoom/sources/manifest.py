@@ -18,7 +18,7 @@ from dialoom.sources.errors import ConfigError, GateError
 REQUIRED = ("source_id", "character_id", "series", "episode", "input_type", "language", "rights_status", "file", "sha256", "parser_profile")
 INPUT_TYPES = {"transcript_txt", "script_pdf", "subtitle_smi"}
 RIGHTS = {"synthetic", "licensed", "private_unverified"}
-VERSIONED = ("character_id", "series", "episode", "input_type", "language", "parser_profile", "sha256")
+VERSIONED = ("character_id", "series", "episode", "input_type", "language", "sha256", "parser_profile")
 
 
 @dataclass(frozen=True)
@@ -63,7 +63,7 @@ def as_date(value: object, name: str, who: str) -> date | None:
     if value is None or isinstance(value, date):
         return value
     try:
-        return date.fromisoformat(value) if isinstance(value, str) else date.fromisoformat("")
+        return date.fromisoformat(value.strip()) if isinstance(value, str) else date.fromisoformat("")
     except ValueError:
         raise ConfigError(f"{who}: {name} is no ISO date: {value!r}") from None
 
