@@ -119,7 +119,7 @@ def with_slots(rows: DataFrame, shard: str, order: list[str], rows_per_chunk: in
 def shard_documents(docs: DataFrame, shards: int, dims: dict[str, Column] | None = None, overhead: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: its id, size, text_crc32, shard and slot."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    dims = dims or {"d_size": F.log(F.octet_length(text) + overhead), "d_id": F.col(id_col).cast("double"), "d_source": F.xxhash64("source") if "source" in docs.columns else F.lit(0)}
+    dims = dims or {"d_size": F.log(F.octet_length(text) + overhead), "d_id": F.col(id_col).try_cast("double"), "d_source": F.xxhash64("source") if "source" in docs.columns else F.lit(0)}
     scratch = Scratch(docs.sparkSession, "sharding")
     points = docs.select(F.col(id_col), (F.octet_length(text) + overhead).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), *(c.alias(n) for n, c in dims.items()))
     points = scratch.save(points.withColumn("__tie", F.xxhash64(id_col, "text_crc32", F.monotonically_increasing_id())), "points")
