@@ -1,9 +1,11 @@
 """The training-data operators against brute force, on small tables with nulls, ties, repeats and odd columns."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -215,18 +217,62 @@ def test_quality_rules(spark):
     assert all(r.kept != r.base_failed for r in none.collect())
 
 
+def brute_kneser_ney(texts, asked, order=4):
+    """log p of each of ``asked``, by plain dictionaries."""
+    def cut(text):
+        codes = [0] * (order - 1) + quality_model.symbols(text).tolist()
+        return [tuple(codes[i : i + order]) for i in range(len(codes) - order + 1)]
+
+    counts = Counter(g for t in texts for g in cut(t))
+    levels = []
+    for _ in range(order):
+        n1, n2, n3, n4 = (sum(v == i for v in counts.values()) for i in (1, 2, 3, 4))
+        if n1 and n2 and n3:
+            y = n1 / (n1 + 2 * n2)
+            made = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
+            discount = [min(max(d, 0.1), i + 0.9) for i, d in enumerate(made)]
+        else:
+            discount = [0.5, 0.75, 0.9]
+        totals, held = Counter(), Counter()
+        for g, n in counts.items():
+            totals[g[:-1]] += n
+            held[g[:-1]] += discount[min(n, 3) - 1]
+        levels.append((counts, totals, held, discount))
+        counts = Counter(g[1:] for g in counts)
+
+    def p(g, k=0):
+        if k == order:
+            return 1 / (len(levels[-1][0]) + 1)
+        counts, totals, held, discount = levels[k]
+        below = p(g[1:], k + 1)
+        if g[:-1] not in totals:
+            return below
+        n = counts[g]
+        return ((n - discount[min(n, 3) - 1]) if n else 0) / totals[g[:-1]] + held[g[:-1]] / totals[g[:-1]] * below
+
+    return [math.exp(-sum(math.log(p(g)) for g in cut(t)) / len(cut(t))) for t in asked]
+
+
 def test_quality_model(spark):
     good = [prose(80, i) for i in range(60)]
     bad = ["".join(R.choice("zxqwvkj|#%$0189") for _ in range(400)) for _ in range(10)]
-    ids = spark.createDataFrame([(i,) for i in range(50)], "doc_id long")
-    got = by_id(quality_model.score_documents(frame(spark, [*good, *bad, None, ""]), ids, min_trusted=10))
+    ids = spark.createDataFrame([(i,) for i in range(50)] + [(None,)], "doc_id long")
+    got = by_id(quality_model.score_documents(frame(spark, [*good, *bad, None, ""]), ids, prior=10.0))
     assert sum(got[i].kept for i in range(60)) >= 58 and not any(got[i].kept for i in range(60, 72))
-    orders = quality_model.train(frame(spark, good).select("text"), Scratch(spark, "t"))
-    model = quality_model.DenseModel(orders)
-    code = np.arange(64, dtype=np.uint32)
-    for context in (0, 5 << 6, (3 << 12) | (2 << 6) | 9, int(quality_model.grams(quality_model.symbols(good[0]), 3)[40])):
-        p = model.p[-1][(context << 6) + code] + model.w[-1][context] * model.p[-2][((context << 6) + code) & (64**3 - 1)]
-        assert abs(float(p.sum()) - 1) < 1e-3  # a distribution, after seen and unseen contexts
+
+
+def test_quality_model_is_kneser_ney(spark):
+    texts = ["Ein Haus am See", "ab AB 日本語の文 42", "Привет, мир", prose(30, 7), "\0\U0001f600 x", BASE]
+    asked = [*texts, "日本 Привет", "zzz qqq", "a"]
+    scratch = Scratch(spark, "t")
+    model = quality_model.train(frame(spark, texts).select("text"), scratch)
+    for block_bytes in (100, 10_000_000):  # many blocks and one
+        rows = quality_model.perplexities(frame(spark, [*asked, None, "", "a"]).select("doc_id", "text", "size"), model, scratch, block_bytes=block_bytes).collect()
+        got = {r.doc_id: r.perplexity for r in rows}
+        assert [got[i] for i in range(len(asked))] == pytest.approx(brute_kneser_ney(texts, asked), rel=1e-5)
+        assert len(rows) == len(asked) + 3 and got[9] is None and got[10] is None and got[11] == got[8]
+        assert rows[0].asDict().keys() == {"doc_id", "size", "perplexity"}
+    assert got[6] > got[1] > 1  # other scripts are told apart
 
 
 # -- duplicates
