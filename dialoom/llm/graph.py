@@ -39,20 +39,23 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 def bucket_components(banded: DataFrame, linked: Callable[[DataFrame], DataFrame], scratch: Scratch, refined: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(node, component) of the links between nodes that share a bucket; nodes without links are left out.
 
-    ``banded`` has a row (bucket, node) for each bucket of a node, ``linked`` keeps those of the pairs (a, b) that are
-    links. Each bucket first compares its members with one of them, the one that meets most nodes in all its buckets: of
+    ``banded`` has a row (bucket, node) for each bucket of a node, ``linked`` gives a table of those of the pairs (a, b)
+    that are links. Each bucket first compares its members with one of them, the one that meets most nodes in all its buckets: of
     near copies, that is the text they were made from, or the copy closest to it. What lies in different components
     after that is compared as well, so every pair of a bucket has been compared or lies in one component, while a
     bucket of n near copies of one text costs about n comparisons.
 
-    ``refined`` gives other buckets for those in several components, (bucket, hub, node, component), in which every pair
+    ``refined`` gives a table of other buckets for those in several components, (bucket, hub, node, component), in which every pair
     of such a bucket that can be a link meets again. It is asked once, so that texts that are alike but not alike enough
     part ways before they are compared one by one.
     """
     shared, links, found = _stars(banded, None, linked, scratch)
     torn = _torn(shared, found, scratch)
     if refined is not None and torn.limit(1).count():
-        shared, more, found = _stars(scratch.save(refined(torn), "refined"), links, linked, scratch, found)
+        finer = refined(torn)
+        scratch.drop(torn)
+        shared, more, found = _stars(finer, links, linked, scratch, found)
+        scratch.drop(finer)
         links = scratch.save(links.unionByName(more), "links")
         torn = _torn(shared, found, scratch)
     sizes = torn.groupBy("bucket", "component").agg(F.count("*").alias("n"))
@@ -65,7 +68,8 @@ def bucket_components(banded: DataFrame, linked: Callable[[DataFrame], DataFrame
     once = F.array_min(F.array_intersect("own", "ox")) == sides["bucket"]
     across = sides.join(outside, (sides["bucket"] == outside["bucket"]) & F.expr("component <> cx and (not out or node < x)") & once)
     across = across.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
-    more = scratch.save(linked(across), "links")
+    more = linked(scratch.save(across, "across"))
+    scratch.drop(torn, sides, outside)
     return components(links.unionByName(more), scratch)
 
 
@@ -77,18 +81,24 @@ def _stars(banded: DataFrame, before: DataFrame | None, linked: Callable[[DataFr
     met = scratch.save(shared.groupBy("node").agg(F.sum("n").alias("met")), "met")
     hubs = scratch.save(shared.join(met, "node").groupBy("bucket").agg(F.max_by("node", "met").alias("hub")), "hubs")
     crowded = scratch.save(shared.drop("n").join(hubs, "bucket"), "crowded")
-    scratch.drop(shared)
+    scratch.drop(sizes, shared, met, hubs)
     pairs = crowded.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     if known is not None:
         ends = [known.withColumnsRenamed({"node": x, "component": f"c{x}"}) for x in ("a", "b")]
         placed = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left")
         pairs = placed.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    links = scratch.save(linked(pairs), "links")
+    pairs = scratch.save(pairs, "pairs")
+    links = linked(pairs)
+    scratch.drop(pairs)
     return crowded, links, components(links if before is None else before.unionByName(links), scratch)
 
 
 def _torn(shared: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
-    """(bucket, hub, node, component) of the buckets whose members, hub aside, may hold pairs not compared yet."""
+    """(bucket, hub, node, component) of the buckets whose members, hub aside, may hold pairs not compared yet. It takes
+    the place of ``shared``, which is dropped."""
     placed = scratch.save(shared.join(found, "node", "left").select("bucket", "hub", "node", F.coalesce("component", "node").alias("component")), "placed")
     torn = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo < hi and n > 2").select("bucket")
-    return scratch.save(placed.join(scratch.save(torn, "torn"), "bucket", "left_semi"), "rest")
+    torn = scratch.save(torn, "torn")
+    rest = scratch.save(placed.join(torn, "bucket", "left_semi"), "rest")
+    scratch.drop(shared, placed, torn)
+    return rest

@@ -203,21 +203,24 @@ def _difference_buckets(docs: DataFrame, torn: DataFrame, percent: int, scratch:
     members = scratch.save(clusters.join(refs, "cluster"), "members")
     sets = scratch.save(_sets(docs, members.select("node"), id_col, text_col).select("node", "shingles"), "torn-sets")
     x = members.join(sets, "node").join(sets.withColumnsRenamed({"node": "ref", "shingles": "base"}), "ref").select("cluster", "node", "shingles", "base")
-    held = scratch.save(x.mapInArrow(spread, "cluster long, node long, element long, d long, e double, low double"), "differences")
-    held = held.withColumn("own", F.floor(F.log(F.col("e") + F.col("low") + 1e-9) / math.log(grow)).cast("int"))
+    differences = scratch.save(x.mapInArrow(spread, "cluster long, node long, element long, d long, e double, low double"), "differences")
+    scratch.drop(edges, least, members, sets)
+    held = differences.withColumn("own", F.floor(F.log(F.col("e") + F.col("low") + 1e-9) / math.log(grow)).cast("int"))
     whole = held.where("element is null")
     # classes of e: a logarithm of the longest text's size at most
     present = scratch.save(whole.groupBy("cluster").agg(F.collect_set("own").alias("others")), "present")
-    counts = held.where("element is not null").groupBy("cluster", "element").agg(F.count("*").alias("n")).where("n > 1")
+    counts = scratch.save(held.where("element is not null").groupBy("cluster", "element").agg(F.count("*").alias("n")).where("n > 1"), "element-counts")
     node = W.partitionBy("cluster", "node")
-    ranked = held.join(scratch.save(counts, "element-counts"), ["cluster", "element"])
+    ranked = held.join(counts, ["cluster", "element"])
     ranked = ranked.withColumn("at", F.row_number().over(node.orderBy("n", "element")) + F.col("d") - F.count("*").over(node))
     most = F.col("e") + F.pow(F.lit(grow), F.col("other")) - F.col("low") - 1e-6
     pair = [F.least("own", "other"), F.greatest("own", "other")]
     ranked = ranked.join(present, "cluster").withColumn("other", F.explode("others")).where(F.col("at") <= F.col("d") - F.ceil(most / 2) + 1)
     whole = whole.join(present, "cluster").withColumn("other", F.explode("others")).where(most <= 0)
     out = ranked.select(F.xxhash64("cluster", "element", *pair).alias("bucket"), "node")
-    return out.unionByName(whole.select(F.xxhash64(F.lit("all"), "cluster", *pair).alias("bucket"), "node")).distinct()
+    out = scratch.save(out.unionByName(whole.select(F.xxhash64(F.lit("all"), "cluster", *pair).alias("bucket"), "node")).distinct(), "refined")
+    scratch.drop(differences, present, counts)
+    return out
 
 
 def row_components(rows: DataFrame, rid: str, scratch: Scratch, percent: int = PERCENT, bands: int = BANDS, rows_per_band: int = ROWS, batch: int = BATCH, miss: float = MISS, text_col: str = "text") -> DataFrame:
@@ -225,6 +228,9 @@ def row_components(rows: DataFrame, rid: str, scratch: Scratch, percent: int = P
     sketched = scratch.save(sketches(rows, rid, text_col, bands * rows_per_band), "sketches")
     classes = sketched.where("set_key is not null").groupBy("set_key").agg(F.min(rid).alias("node"), F.first("signature").alias("signature"))
     classes = scratch.save(classes, "classes")
+    # signatures are kept once, with the classes
+    sized = scratch.save(sketched.drop("signature"), "sized")
+    scratch.drop(sketched)
     table = least_matches(bands * rows_per_band, batch, percent / 100, miss)
 
     links = lambda pairs: _linked(rows, pairs, classes, table, percent, scratch, rid, text_col)
@@ -232,7 +238,7 @@ def row_components(rows: DataFrame, rid: str, scratch: Scratch, percent: int = P
     found = bucket_components(_bands(classes, bands, rows_per_band), links, scratch, parted)
     by_class = classes.select("set_key", "node").join(found, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
     by_class = scratch.save(by_class, "components")
-    out = sketched.drop("signature").join(by_class, "set_key", "left")
+    out = sized.join(by_class, "set_key", "left")
     return out.select(F.col(rid).alias("rid"), "n_shingles", F.coalesce("component", rid).alias("component"))
 
 
@@ -250,7 +256,9 @@ def _linked(docs: DataFrame, pairs: DataFrame, classes: DataFrame, table: list[t
     alive = scratch.save(_compare(pairs, classes, table), "alive")
     nodes = scratch.save(alive.select(F.col("a").alias("node")).union(alive.select("b")).distinct(), "nodes")
     sets = scratch.save(_sets(docs, nodes, id_col, text_col), "sets")
-    return _verify(alive, sets, percent)
+    links = scratch.save(_verify(alive, sets, percent), "links")
+    scratch.drop(alive, nodes, sets)
+    return links
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

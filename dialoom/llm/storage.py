@@ -75,8 +75,9 @@ class Scratch:
         out.scratch_path = at
         return out
 
-    def drop(self, df: DataFrame) -> None:
-        delete_path(self.spark, df.scratch_path)
+    def drop(self, *tables: DataFrame) -> None:
+        for df in tables:
+            delete_path(self.spark, df.scratch_path)
 
     def close(self) -> None:
         delete_path(self.spark, self.path)
