@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialoom.llm.storage import literal_table, pinned
+from dialoom.llm.storage import literal_table, pinned, shuffles_removed
 
 WHITE = " \t\n\x0b\x0c\r"
 #: Scores under this are far outside what trusted text reaches: on 88,000 trusted texts the least was -0.2.
@@ -86,7 +86,8 @@ def log_ratios(docs: DataFrame, trusted_ids: DataFrame, buckets: int, id_col: st
     trusted = trusted_ids.select(F.col(id_col).alias("__id")).where(F.col("__id").isNotNull()).distinct().withColumn("__trusted", F.lit(1))
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(trusted.hint("merge"), "__id", "left")
     cells = with_cells(with_words(rows), buckets).select(F.explode("__cells").alias("cell"), F.coalesce("__trusted", F.lit(0)).alias("t"))
-    counts = cells.groupBy("cell").agg(F.count("*").alias("raw"), F.sum("t").alias("target")).collect()
+    with shuffles_removed(docs.sparkSession):
+        counts = cells.groupBy("cell").agg(F.count("*").alias("raw"), F.sum("t").alias("target")).collect()
     raw, target = [0] * (2 * buckets), [0] * (2 * buckets)
     for r in counts:
         raw[r.cell], target[r.cell] = r.raw, r.target
