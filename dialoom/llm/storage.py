@@ -70,7 +70,7 @@ class Scratch:
         self.count += 1
         at = f"{self.path}/{self.count:03d}-{name}"
         with shuffles_removed(self.spark):
-            df.write.parquet(at)
+            df.write.option("compression", "zstd").parquet(at)
         out = self.spark.read.schema(df.schema).parquet(at)
         out.scratch_path = at
         return out
