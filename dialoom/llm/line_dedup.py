@@ -2,20 +2,20 @@
 
 1. Lines (text between line feeds) are normalised: lower case, runs of anything but letters and digits to one space. Lines without letters or digits stay and are compared with nothing. Equal normal forms are one
    line from here on, told apart by 128 bits of hash and counted before any join: a line of every document is one row.
-2. A line's leading words are the ``LEADING`` different ones that come first when hashes are shifted right by the
-   word's length, so that long, hence rare, words lead. Its fingerprint has a block of 64 bits for each choice of
-   ``CHOSEN`` leading words: their SimHash, the bit by bit majority of the words' hashes. A word votes only in the
-   blocks that hold it, so (pigeonhole) lines that differ in at most ``LEADING - CHOSEN`` of their leading words agree
-   in all bits of at least one block, however long they are. Lines join on blocks. One 64-bit SimHash over all words
-   can't do this: a word of ten that differs already moves about nine of its bits. Lines of fewer than ``MIN_WORDS``
-   words repeat each other only when they are equal.
+2. A line's leading words come first when hashes are shifted right by the word's length, so that long, hence rare, words
+   lead; a word that occurs twice leads twice. Its fingerprint has a block of 64 bits for each choice of some leading
+   words: their SimHash, the bit by bit majority of the words' hashes. A word votes only in the blocks that hold it. A
+   link changes at most a third of the longer line's words, d, and the first ``d + r`` words of two such lines have
+   ``r`` in common (prefix filter), so they agree in all bits of a block of ``r`` words, however long the words are.
+   Where the longer line has at most ``SHORT`` words, r is 3 (2 for three words) and d is taken in full: none is missed.
+   Where it has more, r is 2 and ``LEADING`` words lead: none is missed whose lines differ in at most ``LEADING - 2``
+   words, which all links over words do up to ``5 * LEADING - 6`` words; of longer ones, see the README. Lines join on blocks.
 3. A link is an edit similarity of ``similarity`` or more, over words; or over letters, where two thirds of the words agree
    in order. A line is compared with the pivot of one of its blocks, then, where a block lies in several components, with
-   the pivots of these. Lines of such a block in different components are compared with each other where they share a
-   block of their next ``LEADING`` words as well (the same pigeonhole bound), the SimHashes of all their words are
-   within ``DISTANCE`` of 64 bits, and neither lengths nor the distances from the pivot (triangle inequality) rule a
-   link out; ``ROUNDS * PIVOTS`` more pivots a block come before that. So n near copies of a line cost about n comparisons, and lines
-   that have nothing but three frequent words in common aren't compared one by one.
+   the pivots of these, then with ``ROUNDS * PIVOTS`` more. What then lies in one block and in different components is
+   compared pair by pair, unless something rules a link out: the lengths, the distances from the pivot (triangle
+   inequality), or the words that one line has and the other lacks, counted on 256 bits, which can't give too many. So n
+   near copies of a line cost about n comparisons.
 4. Of each connected group the first occurrence is kept, by document id, then text hash, row and line number.
 
 Null texts stay null; empty lines stay. A document all of whose lines are removed has an empty text. Repeated rows
@@ -24,19 +24,27 @@ count one after the other: the first one keeps its lines. Null ids come first. C
 
 from __future__ import annotations
 
+import functools
 import itertools
+import operator
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dialoom.llm.graph import components
 from dialoom.llm.storage import Scratch, free_name, pinned
 
-SIMILARITY, MIN_WORDS, LEADING, CHOSEN, MAX_SHIFT, DISTANCE = 0.8, 4, 5, 3, 20, 19
+SIMILARITY, SHORT, LEADING, MAX_SHIFT = 0.8, 11, 8, 20
 _LANES = 0x0000000100000001
+#: 64-bit parts of a line's word bits.
+PARTS = 4
+#: The third vote of a block of two words.
+_TIE = 0x5851F42D4C957F2D
 #: Further pivots of a block that lies in several components.
 ROUNDS, PIVOTS = 1, 16
-_WORDS = [f"w{i}" for i in range(2 * LEADING)]
+_BITS = [f"s{i}" for i in range(PARTS)]
+_WORDS = [f"w{i}" for i in range(LEADING)]
 
 
 def normal_form(line: Column) -> Column:
@@ -54,9 +62,13 @@ def _lines(rows: DataFrame, rid: str, text_col: str) -> DataFrame:
 
 
 def leading_words(norm: Column) -> Column:
-    """Shifted hashes of the leading words, in order."""
+    """Shifted hashes of the leading words, in order; later occurrences of a word count on from its hash."""
     ranked = F.transform(F.split(norm, " "), lambda w: F.call_function("shiftrightunsigned", F.xxhash64(w), F.least(F.length(w), F.lit(MAX_SHIFT))))
-    return F.slice(F.array_distinct(F.slice(F.sort_array(ranked), 1, 4 * LEADING)), 1, 2 * LEADING)
+    return F.slice(F.sort_array(ranked), 1, LEADING)
+
+
+def _occurrences(top: Column) -> Column:
+    return F.transform(top, lambda h, i: h + i - F.array_position(top, h) + 1)
 
 
 def majority(a: Column, b: Column, c: Column) -> Column:
@@ -66,24 +78,28 @@ def majority(a: Column, b: Column, c: Column) -> Column:
 
 def _blocks(nodes: DataFrame) -> DataFrame:
     """(bucket, node): a row for each block of each line's fingerprint."""
-    hashed = nodes.where("w2 is not null").select("key", *(F.when(F.col(w).isNotNull(), F.xxhash64(w)).alias(w) for w in _WORDS[:LEADING]))
-    blocks = F.array(*(majority(*(F.col(w) for w in three)) for three in itertools.combinations(_WORDS[:LEADING], CHOSEN)))
-    return hashed.select(F.col("key").alias("node"), F.explode(blocks).alias("bucket")).where("bucket is not null")
-
-
-def _finer(placed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The rows of ``placed`` with ``finer`` and, in ``blocks``, all of the line's own in that block: lines of a block meet again where they also share a block of their next
-    leading words, those that the block doesn't hold; lines with few of them meet as they are."""
-    hashed = nodes.where("w2 is not null").select(F.col("key").alias("node"), *(F.when(F.col(w).isNotNull(), F.xxhash64(w)).alias(w) for w in _WORDS))
-    hashed = hashed.join(placed.select("node").distinct(), "node", "left_semi")
-    made = []
-    for three in itertools.combinations(range(LEADING), CHOSEN):
-        rest = [F.col(w) for i, w in enumerate(_WORDS) if i not in three][:LEADING]
-        finer = [majority(*four) for four in itertools.combinations(rest, CHOSEN)]
-        few = F.when(rest[-1].isNull(), F.lit(0).cast("long"))
-        made.append(F.struct(majority(*(F.col(_WORDS[i]) for i in three)).alias("bucket"), F.array_compact(F.array(*finer, few)).alias("finer")))
-    own = hashed.select("node", F.explode(F.array(*made)).alias("x")).select("node", "x.bucket", F.col("x.finer").alias("blocks"), F.explode("x.finer").alias("finer")).where("bucket is not null")
-    return placed.join(own.distinct(), ["node", "bucket"])
+    w = [F.col(x) for x in _WORDS]
+    hashed = nodes.where("w1 is not null").select("key", "size", *(F.when(x.isNotNull(), F.xxhash64(x)).alias(n) for x, n in zip(w, _WORDS, strict=True)))
+    three = F.array(*(majority(*x) for x in itertools.combinations(w[: SHORT // 3 + 3], 3)))
+    two = lambda n, tie: F.array(*(majority(*x, F.lit(tie)) for x in itertools.combinations(w[:n], 2)))
+    none = F.array().cast("array<bigint>")
+    # the longer of two linked lines may have half as many words again
+    blocks = F.concat(
+        F.when(F.col("size") <= 3, two(3, ~_TIE)).otherwise(none),
+        F.when(F.col("size").between(3, SHORT), three).otherwise(none),
+        F.when(3 * F.col("size") >= 2 * (SHORT + 1), two(LEADING, _TIE)).otherwise(none),
+    )
+    return hashed.select(F.col("key").alias("node"), F.explode(F.array_distinct(F.array_compact(blocks))).alias("bucket"))
+
+
+def word_bits(held: DataFrame) -> DataFrame:
+    """(node, chars, bits): ``PARTS`` longs, with a bit for each word."""
+    words = held.select("key", F.length("norm").alias("chars"), F.explode(F.split("norm", " ")).alias("word")).select("key", "chars", F.xxhash64("word").alias("h"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)).cast("int"))
+    part = F.pmod(F.shiftright("h", 6), F.lit(PARTS))
+    parts = [F.bit_or(F.when(part == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"s{i}") for i in range(PARTS)]
+    added = words.groupBy("key").agg(F.max("chars").alias("chars"), *parts)
+    return added.select(F.col("key").alias("node"), "chars", *(f"s{i}" for i in range(PARTS)))
 
 
 def simhashes(held: DataFrame) -> DataFrame:
@@ -104,14 +120,16 @@ def word_code(norm: Column) -> Column:
     return F.decode(F.unhex(F.array_join(digits, "")), "UTF-16BE")
 
 
-def _compared(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+def _compared(pairs: DataFrame, held: DataFrame, similarity: float, measured: bool = True) -> DataFrame:
     """(a, b, words, linked) of the pairs (a, b): the edit distance in words, and whether they are a link: words decide
-    from ``similarity`` on; pairs that are alike at two thirds of their words are compared letter by letter."""
+    from ``similarity`` on; pairs that are alike at two thirds of their words are compared letter by letter. Distances
+    too large for a link are -1 unless they are ``measured``."""
     x = pairs.join(held.withColumnsRenamed({"key": "b", "norm": "tb", "code": "cb"}), "b").join(held.withColumnsRenamed({"key": "a", "norm": "ta", "code": "ca"}), "a")
     longer = F.greatest(F.length("ca"), F.length("cb"))
-    x = x.withColumn("words", pinned(F.levenshtein("ca", "cb")))
+    x = x.withColumn("words", pinned(F.levenshtein("ca", "cb") if measured else F.expr("levenshtein(ca, cb, cast(floor(greatest(length(ca), length(cb)) / 3) as int))")))
     x = x.withColumn("most", F.floor((1 - similarity) * F.greatest(F.length("ta"), F.length("tb")) + 1e-9).cast("int"))
-    few, most_agree = F.col("words") <= (1 - similarity) * longer + 1e-9, 3 * F.col("words") <= longer
+    near = F.col("words") >= 0
+    few, most_agree = near & (F.col("words") <= (1 - similarity) * longer + 1e-9), near & (3 * F.col("words") <= longer)
     letters = F.abs(F.length("ta") - F.length("tb")) <= F.col("most")
     linked = F.when(few, True).when(most_agree & letters, F.expr("levenshtein(ta, tb, most) >= 0")).otherwise(False)
     return x.select("a", "b", "words", pinned(linked).alias("linked"))
@@ -119,9 +137,8 @@ def _compared(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame
 
 def _links(nodes: DataFrame, rows: DataFrame, rid: str, text_col: str, scratch: Scratch, similarity: float) -> DataFrame:
     """(a, b): links that connect all lines of a group."""
-    banded = _blocks(nodes)
-    sizes = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shared = scratch.save(banded.join(sizes, "bucket"), "shared")
+    banded = _blocks(nodes).withColumn("n", F.count("*").over(W.partitionBy("bucket")))
+    shared = scratch.save(banded.where("n > 1"), "shared")
     # the line that meets most others is the pivot: of near copies, the one closest to what they were made from
     met = shared.groupBy("node").agg(F.sum("n").alias("met"))
     pivots = shared.select("bucket", "node").join(met, "node").groupBy("bucket").agg(F.max("met").alias("met"), F.max_by("node", F.struct("met", "node")).alias("pivot"))
@@ -145,19 +162,20 @@ def _links(nodes: DataFrame, rows: DataFrame, rid: str, text_col: str, scratch:
     links = seen.where("linked").select("a", "b")
     before, torn = torn, _torn(torn.select("bucket", "pivot", "node"), components(links, scratch), scratch)
     scratch.drop(once, before)
-    # lines of one finer block in different components, where both distances from the pivot don't rule out a link
+    # lines of one block in different components
     lengths = held.select(F.col("key").alias("node"), F.length("code").alias("n"))
     placed = torn.join(seen.withColumnsRenamed({"a": "pivot", "b": "node"}), ["pivot", "node"]).join(lengths, "node")
-    prints = simhashes(held.join(placed.select(F.col("node").alias("key")).distinct(), "key", "left_semi"))
-    placed = placed.join(prints, "node").select("bucket", "node", "component", "words", "linked", "n", "chars", "sim")
-    placed = scratch.save(_finer(placed, nodes), "placed")
+    bits = word_bits(held.join(placed.select(F.col("node").alias("key")).distinct(), "key", "left_semi"))
+    own = placed.groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("blocks"))
+    placed = placed.join(bits, "node").join(own, "node").select("bucket", "blocks", "node", "component", "words", "linked", "n", "chars", *_BITS)
+    placed = scratch.save(placed, "placed")
     scratch.drop(torn)
     # lines of a crowded block are mostly joined by a few more pivots, picked by a hash; the rest meets one by one
     for seed in range(ROUNDS):
-        picked = placed.groupBy("bucket", "finer").agg(F.array(*(F.min_by("node", F.xxhash64("node", F.lit(PIVOTS * seed + i))) for i in range(PIVOTS))).alias("picked"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-        picked = picked.where("lo < hi").select("bucket", "finer", F.explode(F.array_distinct("picked")).alias("node"))
-        pivots = placed.join(picked, ["bucket", "finer", "node"])
-        more = scratch.save(_compared(_apart(placed, pivots, F.lit(True), similarity), held, similarity), "seen")
+        picked = placed.groupBy("bucket").agg(F.array(*(F.min_by("node", F.xxhash64("node", F.lit(PIVOTS * seed + i))) for i in range(PIVOTS))).alias("picked"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+        picked = picked.where("lo < hi").select("bucket", F.explode(F.array_distinct("picked")).alias("node"))
+        pivots = placed.join(picked, ["bucket", "node"])
+        more = scratch.save(_compared(_apart(placed, pivots, F.lit(True), similarity), held, similarity, measured=False), "seen")
         links = scratch.save(links.unionByName(more.where("linked").select("a", "b")), "links")
         found = components(links, scratch)
         joined = placed.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -165,20 +183,25 @@ def _links(nodes: DataFrame, rows: DataFrame, rid: str, text_col: str, scratch:
         scratch.drop(before, more)
     across = _apart(placed, placed.where("not linked"), F.expr("linked or node < x_node"), similarity)
     across = scratch.save(across, "across")
-    more = scratch.save(_compared(across, held, similarity).where("linked").select("a", "b"), "links")
+    more = scratch.save(_compared(across, held, similarity, measured=False).where("linked").select("a", "b"), "links")
     scratch.drop(across, placed, held)
     return links.unionByName(more)
 
 
 def _apart(placed: DataFrame, some: DataFrame, which: Column, similarity: float) -> DataFrame:
-    """(a, b): lines of one finer block in different components, where nothing known of them rules a link out."""
-    some = some.select("bucket", "finer", *(F.col(c).alias(f"x_{c}") for c in ("node", "component", "words", "n", "chars", "sim", "blocks")))
-    near = F.abs(F.col("words") - F.col("x_words")) <= F.greatest("n", "x_n") / 3
-    near = near & (F.least("chars", "x_chars") >= similarity * F.greatest("chars", "x_chars") - 1)
-    near = near & (F.bit_count(F.col("sim").bitwiseXOR(F.col("x_sim"))) <= DISTANCE)
-    # lines that share several finer blocks of a block meet in the least of them
-    near = near & (F.array_min(F.array_intersect("blocks", "x_blocks")) == F.col("finer"))
-    pairs = placed.join(some, ["bucket", "finer"]).where(F.expr("component <> x_component") & which & near)
+    """(a, b): lines of one block in different components, where nothing known of them rules a link out."""
+    some = some.select("bucket", *(F.col(c).alias(f"x_{c}") for c in ("node", "component", "words", "n", "chars", "blocks", *_BITS)))
+    longer = F.greatest("n", "x_n")
+    near = F.abs(F.col("words") - F.col("x_words")) <= longer / 3
+    # over words, or over letters
+    alike = F.abs(F.col("n") - F.col("x_n")) <= (1 - similarity) * longer + 1e-9
+    near = near & (F.abs(F.col("n") - F.col("x_n")) <= longer / 3) & (alike | (F.least("chars", "x_chars") >= similarity * F.greatest("chars", "x_chars") - 1))
+    for one, other in (("{}", "x_{}"), ("x_{}", "{}")):
+        lacking = [F.bit_count(F.col(one.format(s)).bitwiseAND(F.bitwise_not(other.format(s)))) for s in _BITS]
+        near = near & (functools.reduce(operator.add, lacking) <= longer / 3)
+    # lines that share several blocks meet in the least of them
+    near = near & (F.array_min(F.array_intersect("blocks", "x_blocks")) == F.col("bucket"))
+    pairs = placed.join(some, "bucket").where(F.expr("component <> x_component") & which & near)
     return pairs.select(F.least("node", "x_node").alias("a"), F.greatest("node", "x_node").alias("b")).distinct()
 
 
@@ -196,12 +219,14 @@ def _torn(crowded: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
 
 def repeated_lines(rows: DataFrame, rid: str, scratch: Scratch, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(rid, pos, grp, kept): a row for each line that has another one in its group. ``rid`` numbers the rows."""
-    lines = _lines(rows, rid, text_col).withColumn("__top", pinned(F.when(F.instr("norm", " ") > 0, leading_words(F.col("norm")))))
-    enough = F.length("norm") - F.length(F.replace("norm", F.lit(" "))) >= MIN_WORDS - 1
-    tops = [F.when(enough, F.get("__top", F.lit(i))).alias(w) for i, w in enumerate(_WORDS)]
-    lines = scratch.save(lines.select(F.col(rid).alias("rid"), "pos", _key(F.col("norm")).alias("key"), F.xxhash64(F.lit(1), "norm").alias("mark"), *tops), "lines")
+    lines = _lines(rows, rid, text_col)
+    lines = lines.withColumn("__ranked", pinned(F.when(F.instr("norm", " ") > 0, leading_words(F.col("norm")))))
+    lines = lines.withColumn("__top", pinned(_occurrences(F.col("__ranked"))))
+    size = F.length("norm") - F.length(F.replace("norm", F.lit(" "))) + 1
+    tops = [F.get("__top", F.lit(i)).alias(w) for i, w in enumerate(_WORDS)]
+    lines = scratch.save(lines.select(F.col(rid).alias("rid"), "pos", _key(F.col("norm")).alias("key"), F.xxhash64(F.lit(1), "norm").alias("mark"), size.alias("size"), *tops), "lines")
     # the mark is the second half of a line's identity: of lines with one key, links are those of the least mark
-    nodes = lines.groupBy("key").agg(F.min("mark").alias("mark"), F.min("rid").alias("rid"), F.count("*").alias("n"), *(F.max(w).alias(w) for w in _WORDS))
+    nodes = lines.groupBy("key").agg(F.min("mark").alias("mark"), F.min("rid").alias("rid"), F.count("*").alias("n"), F.max("size").alias("size"), *(F.max(w).alias(w) for w in _WORDS))
     nodes = scratch.save(nodes, "nodes")
     found = components(_links(nodes, rows, rid, text_col, scratch, similarity), scratch)
     marked = nodes.select("key", "mark", "n").join(found, nodes.key == found.node, "left").where("n > 1 or component is not null")
@@ -238,7 +263,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_lines(docs: DataFrame) -> DataFrame:
     """Documents with their own columns after line deduplication; those that lost all their words are left out."""
-    inner = docs.select(F.col("doc_id"), F.col("text"), F.struct(*docs.columns).alias("__doc"))
+    inner = docs.select(F.col("doc_id"), F.col("text"), F.struct(*(c for c in docs.columns if c != "text")).alias("__doc"))
     out = dedup_lines(inner)
     lost = (F.size("removed") > 0) & ~F.col("text").rlike("[^\\x20\\x09-\\x0D]")
     fields = [F.col("text") if c == "text" else F.length("text").cast("long").alias(c) if c == "n_chars" else F.col("__doc")[c].alias(c) for c in docs.columns]

@@ -376,6 +376,34 @@ def test_line_dedup_recall(spark, words, edits):
     assert sum(got[i + 1].n_removed for i in links) >= 0.9 * len(links) and len(links) > 75
 
 
+def test_line_dedup_misses_no_link(spark):
+    """Links at the threshold, over words and over letters, of lines of 3 words on."""
+    r, texts = random.Random(8), []
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda: "".join(r.choice(letters) for _ in range(r.randint(2, 9)))
+    for n in (3, 4, 5, 8, 10, 11, 12, 15, 18, 20, 25, 30):
+        for edits, other in ((n // 5, lambda w: word()), (n // 5, lambda w: ""), (n // 5, lambda w: w + " " + word()), (n // 3, lambda w: w[:-1] + "0")):
+            for _ in range(10):
+                own = [word() for _ in range(n)]
+                near = [other(w) if i in changed else w for changed in [r.sample(range(n), edits)] for i, w in enumerate(own)]
+                own, near = " ".join(own), " ".join(" ".join(near).split())
+                longer, apart = max(len(own.split()), len(near.split())), levenshtein(own.split(), near.split())
+                if 5 * apart <= longer or 3 * apart <= longer and 5 * levenshtein(own, near) <= max(len(own), len(near)):
+                    texts += [own, near]
+    texts += ["la la la la lo", "la la la la la lo", "the cat sat and the cat ran to the cat", "the cat sat and the cat ran to the dog"]
+    got = by_id(line_dedup.op3_line_dedup(frame(spark, texts)))
+    assert not [texts[i : i + 2] for i in range(0, len(texts), 2) if (got[i].n_removed, got[i + 1].n_removed) != (0, 1)] and len(texts) > 700
+
+
+def test_word_bits_count_no_word_too_many(spark):
+    lines = [(n, prose(n, n)) for n in (1, 9, 60, 5000)]
+    got = {r.node: r for r in line_dedup.word_bits(spark.createDataFrame(lines, "key long, norm string")).collect()}
+    for a, x in lines:
+        for b, y in lines:
+            assert sum(((got[a][s] & ~got[b][s]) % 2**64).bit_count() for s in ("s0", "s1", "s2", "s3")) <= len(set(x.split()) - set(y.split()))
+        assert sum((got[a][s] % 2**64).bit_count() for s in ("s0", "s1", "s2", "s3")) >= min(len(set(x.split())), 100) / 2
+
+
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
