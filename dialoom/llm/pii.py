@@ -163,14 +163,17 @@ def detect(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFram
 
 
 def term_frequencies(docs: DataFrame, text_col: str) -> DataFrame:
-    """(term, df): in how many different texts each term occurs, over all documents; counted by batch before the shuffle."""
+    """(term, df): in how many different texts each term occurs outside of base spans, over all documents; counted by batch before
+    the shuffle. Terms are those that ``_groups`` and ``occurrences`` find, so each of theirs is here."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 0, 16_000_000):
             found: Counter[str] = Counter()
             for text in batch.column(0).to_pylist():
                 if text:
-                    found.update(set(_TERM.findall(text.lower())))
+                    spans = base_spans(text)
+                    terms = {text[a:b] for a, b in _terms(text, spans)} if spans else set(_TERM.findall(text))
+                    found.update({t.lower() for t in terms})
             yield pa.RecordBatch.from_arrays([pa.array(map(_hash, found), pa.int64(), size=len(found)), pa.array(found.values(), pa.int64(), size=len(found))], ["term", "df"])
 
     return docs.select(text_col).distinct().mapInArrow(count, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
