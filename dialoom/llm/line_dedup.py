@@ -162,7 +162,10 @@ def _links(nodes: DataFrame, rows: DataFrame, rid: str, text_col: str, scratch:
     links = seen.where("linked").select("a", "b")
     before, torn = torn, _torn(torn.select("bucket", "pivot", "node"), components(links, scratch), scratch)
     scratch.drop(once, before)
-    # lines of one block in different components
+    # lines of one block in different components; the pivot has met all of them
+    several = torn.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    before, torn = torn, scratch.save(torn.join(several, "bucket", "left_semi"), "torn")
+    scratch.drop(before)
     lengths = held.select(F.col("key").alias("node"), F.length("code").alias("n"))
     placed = torn.join(seen.withColumnsRenamed({"a": "pivot", "b": "node"}), ["pivot", "node"]).join(lengths, "node")
     bits = word_bits(held.join(placed.select(F.col("node").alias("key")).distinct(), "key", "left_semi"))
