@@ -11,11 +11,10 @@
    Where it has more, r is 2 and ``LEADING`` words lead: none is missed whose lines differ in at most ``LEADING - 2``
    words, which all links over words do up to ``5 * LEADING - 6`` words; of longer ones, see the README. Lines join on blocks.
 3. A link is an edit similarity of ``similarity`` or more, over words; or over letters, where two thirds of the words agree
-   in order. A line is compared with the pivot of one of its blocks, then, where a block lies in several components, with
-   the pivots of these, then with ``ROUNDS * PIVOTS`` more. What then lies in one block and in different components is
-   compared pair by pair, unless something rules a link out: the lengths, the distances from the pivot (triangle
-   inequality), or the words that one line has and the other lacks, counted on 256 bits, which can't give too many. So n
-   near copies of a line cost about n comparisons.
+   in order. Lines are compared unless something rules a link out: the lengths, or the words that one line has and the
+   other lacks, counted on ``64 * PARTS`` bits, which can't give too many. A line meets the pivots of its blocks; then
+   what lies in one block and in different components meets, pair by pair, in a crowded block after ``ROUNDS * PIVOTS``
+   more pivots. Only the texts of lines that something may be linked to, or that lie in crowded blocks, are read again.
 4. Of each connected group the first occurrence is kept, by document id, then text hash, row and line number.
 
 Null texts stay null; empty lines stay. A document all of whose lines are removed has an empty text. Repeated rows
@@ -38,12 +37,15 @@ from dialoom.llm.storage import Scratch, free_name, pinned
 SIMILARITY, SHORT, LEADING, MAX_SHIFT = 0.8, 11, 8, 20
 _LANES = 0x0000000100000001
 #: 64-bit parts of a line's word bits.
-PARTS = 4
+PARTS = 2
 #: The third vote of a block of two words.
 _TIE = 0x5851F42D4C957F2D
-#: Further pivots of a block that lies in several components.
+#: Lines of a block whose pairs are all looked at; a block of more is crowded.
+MANY = 64
+#: Further pivots of a crowded block that lies in several components.
 ROUNDS, PIVOTS = 1, 16
 _BITS = [f"s{i}" for i in range(PARTS)]
+_FACTS = ["size", "chars", *_BITS]
 _WORDS = [f"w{i}" for i in range(LEADING)]
 
 
@@ -61,13 +63,14 @@ def _lines(rows: DataFrame, rid: str, text_col: str) -> DataFrame:
     return lines.select(rid, "pos", pinned(normal_form(F.col("line"))).alias("norm")).where("norm <> ''")
 
 
-def leading_words(norm: Column) -> Column:
-    """Shifted hashes of the leading words, in order; later occurrences of a word count on from its hash."""
+def ranked_words(norm: Column) -> Column:
+    """Shifted hashes of the words, leading ones first."""
     ranked = F.transform(F.split(norm, " "), lambda w: F.call_function("shiftrightunsigned", F.xxhash64(w), F.least(F.length(w), F.lit(MAX_SHIFT))))
-    return F.slice(F.sort_array(ranked), 1, LEADING)
+    return F.sort_array(ranked)
 
 
 def _occurrences(top: Column) -> Column:
+    """Later occurrences of a word count on from its hash."""
     return F.transform(top, lambda h, i: h + i - F.array_position(top, h) + 1)
 
 
@@ -92,14 +95,18 @@ def _blocks(nodes: DataFrame) -> DataFrame:
     return hashed.select(F.col("key").alias("node"), F.explode(F.array_distinct(F.array_compact(blocks))).alias("bucket"))
 
 
-def word_bits(held: DataFrame) -> DataFrame:
-    """(node, chars, bits): ``PARTS`` longs, with a bit for each word."""
-    words = held.select("key", F.length("norm").alias("chars"), F.explode(F.split("norm", " ")).alias("word")).select("key", "chars", F.xxhash64("word").alias("h"))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)).cast("int"))
-    part = F.pmod(F.shiftright("h", 6), F.lit(PARTS))
-    parts = [F.bit_or(F.when(part == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"s{i}") for i in range(PARTS)]
-    added = words.groupBy("key").agg(F.max("chars").alias("chars"), *parts)
-    return added.select(F.col("key").alias("node"), "chars", *(f"s{i}" for i in range(PARTS)))
+def _bits(hashes: Column, parts: int) -> list[Column]:
+    """``parts`` longs, with a bit for each word."""
+    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    bit = lambda h: F.call_function("shiftleft", one, h.bitwiseAND(F.lit(63)).cast("int"))
+    part = lambda i: lambda got, h: F.when(F.shiftright(h, 6).bitwiseAND(F.lit(parts - 1)) == i, got.bitwiseOR(bit(h))).otherwise(got)
+    return [F.aggregate(hashes, none, part(i)) for i in range(parts)]
+
+
+def word_bits(held: DataFrame, parts: int = 4) -> DataFrame:
+    """(node, chars, bits): ``parts`` longs, a power of two, with a bit for each word."""
+    hashes = F.transform(F.split("norm", " "), lambda w: F.xxhash64(w))
+    return held.select(F.col("key").alias("node"), F.length("norm").alias("chars"), *(b.alias(f"s{i}") for i, b in enumerate(_bits(hashes, parts))))
 
 
 def simhashes(held: DataFrame) -> DataFrame:
@@ -120,19 +127,18 @@ def word_code(norm: Column) -> Column:
     return F.decode(F.unhex(F.array_join(digits, "")), "UTF-16BE")
 
 
-def _compared(pairs: DataFrame, held: DataFrame, similarity: float, measured: bool = True) -> DataFrame:
-    """(a, b, words, linked) of the pairs (a, b): the edit distance in words, and whether they are a link: words decide
-    from ``similarity`` on; pairs that are alike at two thirds of their words are compared letter by letter. Distances
-    too large for a link are -1 unless they are ``measured``."""
+def _compared(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+    """(a, b, linked) of the pairs (a, b), whether they are a link: words decide from ``similarity`` on; pairs that are
+    alike at two thirds of their words are compared letter by letter."""
     x = pairs.join(held.withColumnsRenamed({"key": "b", "norm": "tb", "code": "cb"}), "b").join(held.withColumnsRenamed({"key": "a", "norm": "ta", "code": "ca"}), "a")
     longer = F.greatest(F.length("ca"), F.length("cb"))
-    x = x.withColumn("words", pinned(F.levenshtein("ca", "cb") if measured else F.expr("levenshtein(ca, cb, cast(floor(greatest(length(ca), length(cb)) / 3) as int))")))
+    x = x.withColumn("words", pinned(F.expr("levenshtein(ca, cb, cast(floor(greatest(length(ca), length(cb)) / 3) as int))")))
     x = x.withColumn("most", F.floor((1 - similarity) * F.greatest(F.length("ta"), F.length("tb")) + 1e-9).cast("int"))
     near = F.col("words") >= 0
     few, most_agree = near & (F.col("words") <= (1 - similarity) * longer + 1e-9), near & (3 * F.col("words") <= longer)
     letters = F.abs(F.length("ta") - F.length("tb")) <= F.col("most")
     linked = F.when(few, True).when(most_agree & letters, F.expr("levenshtein(ta, tb, most) >= 0")).otherwise(False)
-    return x.select("a", "b", "words", pinned(linked).alias("linked"))
+    return x.select("a", "b", pinned(linked).alias("linked"))
 
 
 def _links(nodes: DataFrame, rows: DataFrame, rid: str, text_col: str, scratch: Scratch, similarity: float) -> DataFrame:
@@ -141,81 +147,85 @@ def _links(nodes: DataFrame, rows: DataFrame, rid: str, text_col: str, scratch:
     shared = scratch.save(banded.where("n > 1"), "shared")
     # the line that meets most others is the pivot: of near copies, the one closest to what they were made from
     met = shared.groupBy("node").agg(F.sum("n").alias("met"))
-    pivots = shared.select("bucket", "node").join(met, "node").groupBy("bucket").agg(F.max("met").alias("met"), F.max_by("node", F.struct("met", "node")).alias("pivot"))
-    crowded = scratch.save(shared.drop("n").join(pivots, "bucket").where("node <> pivot"), "crowded")
+    placed = shared.join(met, "node").join(nodes.select(F.col("key").alias("node"), *_FACTS), "node")
+    pivot = F.max(F.struct("met", "node", *_FACTS)).over(W.partitionBy("bucket"))
+    placed = placed.withColumn("x", pivot).where("node <> x.node").withColumns({f"x_{c}": F.col(f"x.{c}") for c in _FACTS})
+    placed = scratch.save(placed.select("bucket", "n", "node", *_FACTS, F.col("x.node").alias("pivot"), _near(similarity).alias("near")), "met")
     scratch.drop(shared)
-    pairs = scratch.save(crowded.groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(F.max("met").alias("met")), "pairs")
-    wanted = nodes.select("key", "rid").join(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), "key", "left_semi")
-    wanted = wanted.groupBy(F.col("rid").alias("__at")).agg(F.collect_list("key").alias("__keys"))
-    texts = rows.select(rid, text_col).join(wanted, F.col(rid) == F.col("__at"))
-    lines = texts.select("__keys", F.explode(F.split(text_col, "\n")).alias("line")).select("__keys", pinned(normal_form(F.col("line"))).alias("norm")).where("norm <> ''")
-    lines = lines.select(pinned(_key(F.col("norm"))).alias("key"), "norm", "__keys").where(F.array_contains("__keys", F.col("key")))
-    held = lines.groupBy("key", "norm").agg(F.count("*").alias("n")).select("key", "norm", pinned(word_code(F.col("norm"))).alias("code"))
-    held = scratch.save(held, "held")
-    # a line meets one pivot at first, and after that the pivots of those blocks that hold several components
-    once = scratch.save(_compared(pairs.groupBy("b").agg(F.max_by("a", F.struct("met", "a")).alias("a")), held, similarity), "once")
-    links = once.where("linked").select("a", "b")
-    torn = _torn(crowded.drop("met"), components(links, scratch), scratch)
-    scratch.drop(pairs, crowded)
-    rest = torn.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct().join(once, ["a", "b"], "left_anti")
-    seen = scratch.save(once.unionByName(_compared(rest, held, similarity)), "seen")
-    links = seen.where("linked").select("a", "b")
-    before, torn = torn, _torn(torn.select("bucket", "pivot", "node"), components(links, scratch), scratch)
-    scratch.drop(once, before)
-    # lines of one block in different components; the pivot has met all of them
-    several = torn.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    before, torn = torn, scratch.save(torn.join(several, "bucket", "left_semi"), "torn")
-    scratch.drop(before)
-    lengths = held.select(F.col("key").alias("node"), F.length("code").alias("n"))
-    placed = torn.join(seen.withColumnsRenamed({"a": "pivot", "b": "node"}), ["pivot", "node"]).join(lengths, "node")
-    bits = word_bits(held.join(placed.select(F.col("node").alias("key")).distinct(), "key", "left_semi"))
-    own = placed.groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("blocks"))
-    placed = placed.join(bits, "node").join(own, "node").select("bucket", "blocks", "node", "component", "words", "linked", "n", "chars", *_BITS)
-    placed = scratch.save(placed, "placed")
-    scratch.drop(torn)
+    stars = scratch.save(placed.where("near").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    small, large = placed.where(f"n between 3 and {MANY}").drop("n", "pivot", "near"), placed.where(f"n > {MANY}").drop("n", "near")
+    pairs = scratch.save(_pairs(small, small, F.expr("node < x_node"), similarity), "pairs")
+    wanted = functools.reduce(DataFrame.union, [x.select(F.col(c).alias("key")) for x, c in ((stars, "a"), (stars, "b"), (pairs, "a"), (pairs, "b"), (large, "node"))])
+    held = scratch.save(_texts(nodes.join(wanted.distinct(), "key", "left_semi"), rows, rid, text_col), "held")
+    links = scratch.save(_compared(stars, held, similarity).where("linked").select("a", "b"), "links")
+    found = components(links, scratch)
+    homes = [found.withColumnsRenamed({"node": x, "component": f"c{x}"}) for x in ("a", "b")]
+    apart = pairs.join(homes[0], "a", "left").join(homes[1], "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    links = links.unionByName(scratch.save(_compared(apart, held, similarity).where("linked").select("a", "b"), "links"))
+    scratch.drop(stars, pairs)
+    if large.limit(1).count():
+        links = _crowded_links(large, links, held, scratch, similarity)
+    scratch.drop(placed, held)
+    return links
+
+
+def _texts(nodes: DataFrame, rows: DataFrame, rid: str, text_col: str) -> DataFrame:
+    """(key, norm, code) of the lines of ``nodes``: no other line of their documents is normalised again."""
+    wanted = nodes.groupBy(F.col("rid").alias("__at")).agg(F.collect_list(F.struct("key", "pos")).alias("__lines"))
+    texts = rows.select(rid, text_col).join(wanted, F.col(rid) == F.col("__at")).select(F.split(text_col, "\n").alias("all"), "__lines")
+    lines = texts.select(F.explode(F.transform("__lines", lambda x: F.struct(x["key"].alias("key"), F.get("all", x["pos"]).alias("line")))).alias("x"))
+    lines = lines.select("x.key", pinned(normal_form(F.col("x.line"))).alias("norm"))
+    return lines.select("key", "norm", pinned(word_code(F.col("norm"))).alias("code"))
+
+
+def _crowded_links(large: DataFrame, links: DataFrame, held: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
+    """The links given, and those that connect the lines of crowded blocks, whose pivots have met all of them."""
+    own = large.groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("blocks"))
+    placed = _torn(large.join(own, "node"), components(links, scratch), scratch)
     # lines of a crowded block are mostly joined by a few more pivots, picked by a hash; the rest meets one by one
     for seed in range(ROUNDS):
-        picked = placed.groupBy("bucket").agg(F.array(*(F.min_by("node", F.xxhash64("node", F.lit(PIVOTS * seed + i))) for i in range(PIVOTS))).alias("picked"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-        picked = picked.where("lo < hi").select("bucket", F.explode(F.array_distinct("picked")).alias("node"))
+        picked = placed.groupBy("bucket").agg(F.array(*(F.min_by("node", F.xxhash64("node", F.lit(PIVOTS * seed + i))) for i in range(PIVOTS))).alias("picked"))
+        picked = picked.select("bucket", F.explode(F.array_distinct("picked")).alias("node"))
         pivots = placed.join(picked, ["bucket", "node"])
-        more = scratch.save(_compared(_apart(placed, pivots, F.lit(True), similarity), held, similarity, measured=False), "seen")
+        more = scratch.save(_compared(_pairs(placed, pivots, F.expr("component <> x_component"), similarity), held, similarity), "seen")
         links = scratch.save(links.unionByName(more.where("linked").select("a", "b")), "links")
-        found = components(links, scratch)
-        joined = placed.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        before, placed = placed, scratch.save(joined, "placed")
+        before, placed = placed, _torn(placed.drop("component", "away"), components(links, scratch), scratch)
         scratch.drop(before, more)
-    across = _apart(placed, placed.where("not linked"), F.expr("linked or node < x_node"), similarity)
+    across = _pairs(placed, placed.where("away"), F.expr("component <> x_component and (not away or node < x_node)"), similarity)
     across = scratch.save(across, "across")
-    more = scratch.save(_compared(across, held, similarity, measured=False).where("linked").select("a", "b"), "links")
-    scratch.drop(across, placed, held)
+    more = scratch.save(_compared(across, held, similarity).where("linked").select("a", "b"), "links")
+    scratch.drop(across, placed)
     return links.unionByName(more)
 
 
-def _apart(placed: DataFrame, some: DataFrame, which: Column, similarity: float) -> DataFrame:
-    """(a, b): lines of one block in different components, where nothing known of them rules a link out."""
-    some = some.select("bucket", *(F.col(c).alias(f"x_{c}") for c in ("node", "component", "words", "n", "chars", "blocks", *_BITS)))
-    longer = F.greatest("n", "x_n")
-    near = F.abs(F.col("words") - F.col("x_words")) <= longer / 3
+def _near(similarity: float) -> Column:
+    """Whether nothing known of two lines, ``size`` and so on and ``x_size`` and so on, rules a link out."""
+    longer = F.greatest("size", "x_size")
     # over words, or over letters
-    alike = F.abs(F.col("n") - F.col("x_n")) <= (1 - similarity) * longer + 1e-9
-    near = near & (F.abs(F.col("n") - F.col("x_n")) <= longer / 3) & (alike | (F.least("chars", "x_chars") >= similarity * F.greatest("chars", "x_chars") - 1))
+    alike = F.abs(F.col("size") - F.col("x_size")) <= (1 - similarity) * longer + 1e-9
+    near = (F.abs(F.col("size") - F.col("x_size")) <= longer / 3) & (alike | (F.least("chars", "x_chars") >= similarity * F.greatest("chars", "x_chars") - 1))
     for one, other in (("{}", "x_{}"), ("x_{}", "{}")):
         lacking = [F.bit_count(F.col(one.format(s)).bitwiseAND(F.bitwise_not(other.format(s)))) for s in _BITS]
         near = near & (functools.reduce(operator.add, lacking) <= longer / 3)
-    # lines that share several blocks meet in the least of them
-    near = near & (F.array_min(F.array_intersect("blocks", "x_blocks")) == F.col("bucket"))
-    pairs = placed.join(some, "bucket").where(F.expr("component <> x_component") & which & near)
+    return near
+
+
+def _pairs(placed: DataFrame, some: DataFrame, which: Column, similarity: float) -> DataFrame:
+    """(a, b): lines of one block of which ``which`` holds, where nothing known of them rules a link out."""
+    near = _near(similarity)
+    if "blocks" in placed.columns:  # lines that share several blocks meet in the least of them
+        near = near & (F.array_min(F.array_intersect("blocks", "x_blocks")) == F.col("bucket"))
+    pairs = placed.join(some.select("bucket", *(F.col(c).alias(f"x_{c}") for c in some.columns if c != "bucket")), "bucket").where(which & near)
     return pairs.select(F.least("node", "x_node").alias("a"), F.greatest("node", "x_node").alias("b")).distinct()
 
 
 def _torn(crowded: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
-    """(bucket, pivot, node, component) of the blocks that lie in several components."""
+    """The rows of blocks that lie in several components, with ``component`` and whether that is another one than the pivot's."""
     homes = found.withColumnsRenamed({"node": "pivot", "component": "home"})
-    placed = crowded.join(found, "node", "left").join(homes, "pivot", "left")
-    placed = placed.select("bucket", "pivot", "node", F.coalesce("component", "node").alias("component"), (F.coalesce("component", "node") != F.coalesce("home", "pivot")).alias("away"))
-    placed = scratch.save(placed, "homes")
-    away = placed.where("away").select("bucket").distinct()
-    torn = scratch.save(placed.drop("away").join(away, "bucket", "left_semi"), "torn")
+    placed = crowded.join(found, "node", "left").join(homes, "pivot", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = scratch.save(placed.withColumn("away", F.col("component") != F.coalesce("home", "pivot")).drop("home"), "homes")
+    several = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
+    torn = scratch.save(placed.join(several, "bucket", "left_semi"), "torn")
     scratch.drop(placed)
     return torn
 
@@ -223,13 +233,13 @@ def _torn(crowded: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
 def repeated_lines(rows: DataFrame, rid: str, scratch: Scratch, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(rid, pos, grp, kept): a row for each line that has another one in its group. ``rid`` numbers the rows."""
     lines = _lines(rows, rid, text_col)
-    lines = lines.withColumn("__ranked", pinned(F.when(F.instr("norm", " ") > 0, leading_words(F.col("norm")))))
-    lines = lines.withColumn("__top", pinned(_occurrences(F.col("__ranked"))))
+    lines = lines.withColumn("__ranked", pinned(F.when(F.instr("norm", " ") > 0, ranked_words(F.col("norm")))))
+    lines = lines.withColumn("__top", pinned(_occurrences(F.slice("__ranked", 1, LEADING))))
     size = F.length("norm") - F.length(F.replace("norm", F.lit(" "))) + 1
     tops = [F.get("__top", F.lit(i)).alias(w) for i, w in enumerate(_WORDS)]
-    lines = scratch.save(lines.select(F.col(rid).alias("rid"), "pos", _key(F.col("norm")).alias("key"), F.xxhash64(F.lit(1), "norm").alias("mark"), size.alias("size"), *tops), "lines")
+    lines = scratch.save(lines.select(F.col(rid).alias("rid"), "pos", _key(F.col("norm")).alias("key"), F.xxhash64(F.lit(1), "norm").alias("mark"), size.alias("size"), F.length("norm").alias("chars"), *(b.alias(x) for x, b in zip(_BITS, _bits(F.col("__ranked"), PARTS), strict=True)), *tops), "lines")
     # the mark is the second half of a line's identity: of lines with one key, links are those of the least mark
-    nodes = lines.groupBy("key").agg(F.min("mark").alias("mark"), F.min("rid").alias("rid"), F.count("*").alias("n"), F.max("size").alias("size"), *(F.max(w).alias(w) for w in _WORDS))
+    nodes = lines.groupBy("key").agg(F.min("mark").alias("mark"), *(F.min_by(c, "mark").alias(c) for c in ("rid", "pos")), F.count("*").alias("n"), *(F.max(c).alias(c) for c in [*_FACTS, *_WORDS]))
     nodes = scratch.save(nodes, "nodes")
     found = components(_links(nodes, rows, rid, text_col, scratch, similarity), scratch)
     marked = nodes.select("key", "mark", "n").join(found, nodes.key == found.node, "left").where("n > 1 or component is not null")

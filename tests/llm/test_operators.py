@@ -405,6 +405,34 @@ def test_line_dedup_misses_no_link(spark):
     assert not [texts[i : i + 2] for i in range(0, len(texts), 2) if (got[i].n_removed, got[i + 1].n_removed) != (0, 1)] and len(texts) > 700
 
 
+def test_lines_that_cannot_link_are_not_compared(spark, monkeypatch):
+    """Lines with the same leading words are only compared where their other words leave room for a link."""
+    texts = [f"extraordinarily incomprehensible {prose(30, 900 + i)}" for i in range(40)] + [f"extraordinarily incomprehensible {prose(29, 900)} other"]
+    real, counts = line_dedup._compared, []
+    monkeypatch.setattr(line_dedup, "_compared", lambda pairs, *rest, **named: counts.append(pairs.count()) or real(pairs, *rest, **named))
+    got = by_id(line_dedup.op3_line_dedup(frame(spark, texts)))
+    assert [i for i, r in got.items() if r.n_removed] == [40] and sum(counts) < 5
+
+
+def test_line_dedup_of_crowded_blocks(spark):
+    """Copies of one line, which is absent, by brute force: their blocks hold more than ``MANY`` lines, in several groups."""
+    r, base, texts = random.Random(3), "extraordinarily incomprehensible " + prose(10, 910), []
+    for i in range(100):
+        own = base.split()
+        for k in r.sample(range(2, 12), 2 + i % 3):
+            own[k] = r.choice(WORDS)
+        texts.append(" ".join(own))
+    texts = list(dict.fromkeys(texts))
+    group = list(range(len(texts)))
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts[:i]):
+            longer, apart = 12, levenshtein(a.split(), b.split())
+            if group[i] != group[j] and (5 * apart <= longer or 3 * apart <= longer and 5 * levenshtein(a, b) <= max(len(a), len(b))):
+                group = [min(group[i], group[j]) if g in (group[i], group[j]) else g for g in group]
+    got = by_id(line_dedup.op3_line_dedup(frame(spark, texts)))
+    assert [r.n_removed for _, r in sorted(got.items())] == [int(g != i) for i, g in enumerate(group)] and len(texts) > line_dedup.MANY
+
+
 def test_word_bits_count_no_word_too_many(spark):
     lines = [(n, prose(n, n)) for n in (1, 9, 60, 5000)]
     got = {r.node: r for r in line_dedup.word_bits(spark.createDataFrame(lines, "key long, norm string")).collect()}
