@@ -180,24 +180,29 @@ def _texts(nodes: DataFrame, rows: DataFrame, rid: str, text_col: str) -> DataFr
 
 def _crowded_links(large: DataFrame, links: DataFrame, held: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
     """The links given, and those that connect the lines of crowded blocks, whose pivots have met all of them."""
-    own = large.groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("blocks"))
-    placed = _torn(large.join(own, "node"), components(links, scratch), scratch)
+    placed = _torn(large, components(links, scratch), scratch)
     # lines of a crowded block are mostly joined by a few more pivots, picked by a hash; the rest meets one by one
     for seed in range(ROUNDS):
         picked = placed.groupBy("bucket").agg(F.array(*(F.min_by("node", F.xxhash64("node", F.lit(PIVOTS * seed + i))) for i in range(PIVOTS))).alias("picked"))
         picked = picked.select("bucket", F.explode(F.array_distinct("picked")).alias("node"))
-        pivots = placed.join(picked, ["bucket", "node"])
-        more = scratch.save(_compared(_pairs(placed, pivots, F.expr("component <> x_component"), similarity), held, similarity), "seen")
+        sides = _with_blocks(placed)
+        more = scratch.save(_compared(_pairs(sides, sides.join(picked, ["bucket", "node"]), F.expr("component <> x_component"), similarity), held, similarity), "seen")
         links = scratch.save(links.unionByName(more.where("linked").select("a", "b")), "links")
         before, placed = placed, _torn(placed.drop("component", "away"), components(links, scratch), scratch)
         scratch.drop(before, more)
-    across = _pairs(placed, placed.where("away"), F.expr("component <> x_component and (not away or node < x_node)"), similarity)
+    sides = _with_blocks(placed)
+    across = _pairs(sides, sides.where("away"), F.expr("component <> x_component and (not away or node < x_node)"), similarity)
     across = scratch.save(across, "across")
     more = scratch.save(_compared(across, held, similarity).where("linked").select("a", "b"), "links")
     scratch.drop(across, placed)
     return links.unionByName(more)
 
 
+def _with_blocks(placed: DataFrame) -> DataFrame:
+    """The rows with all blocks of their lines: wide, so only joined where they are needed."""
+    return placed.join(placed.groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("blocks")), "node")
+
+
 def _near(similarity: float) -> Column:
     """Whether nothing known of two lines, ``size`` and so on and ``x_size`` and so on, rules a link out."""
     longer = F.greatest("size", "x_size")
