@@ -42,6 +42,8 @@ PARTS = 2
 _TIE = 0x5851F42D4C957F2D
 #: Lines of a block whose pairs are all looked at; a block of more is crowded.
 MANY = 64
+#: Tables of blocks and of texts that are made one after the other, so that a part of them is shuffled at a time.
+SLICES = 3
 #: Further pivots of a crowded block that lies in several components.
 ROUNDS, PIVOTS = 1, 16
 _BITS = [f"s{i}" for i in range(PARTS)]
@@ -92,7 +94,7 @@ def _blocks(nodes: DataFrame) -> DataFrame:
         F.when(F.col("size").between(3, SHORT), three).otherwise(none),
         F.when(3 * F.col("size") >= 2 * (SHORT + 1), two(LEADING, _TIE)).otherwise(none),
     )
-    return hashed.select(F.col("key").alias("node"), F.explode(F.array_distinct(F.array_compact(blocks))).alias("bucket"))
+    return hashed.select(F.col("key").alias("node"), F.explode(F.array_distinct(blocks)).alias("bucket")).where("bucket is not null")
 
 
 def _bits(hashes: Column, parts: int) -> list[Column]:
@@ -127,55 +129,92 @@ def word_code(norm: Column) -> Column:
     return F.decode(F.unhex(F.array_join(digits, "")), "UTF-16BE")
 
 
-def _compared(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
-    """(a, b, linked) of the pairs (a, b), whether they are a link: words decide from ``similarity`` on; pairs that are
-    alike at two thirds of their words are compared letter by letter."""
-    x = pairs.join(held.withColumnsRenamed({"key": "b", "norm": "tb", "code": "cb"}), "b").join(held.withColumnsRenamed({"key": "a", "norm": "ta", "code": "ca"}), "a")
+def _compared(pairs: DataFrame, held: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
+    """(a, b) of the pairs (a, b) that are links: words decide from ``similarity`` on; pairs that are alike at two thirds
+    of their words are compared letter by letter. Texts are only joined to the pairs that words leave open."""
+    codes = held.select("key", "code", "chars")
+    x = pairs.join(codes.toDF("b", "cb", "nb"), "b").join(codes.toDF("a", "ca", "na"), "a")
     longer = F.greatest(F.length("ca"), F.length("cb"))
     x = x.withColumn("words", pinned(F.expr("levenshtein(ca, cb, cast(floor(greatest(length(ca), length(cb)) / 3) as int))")))
-    x = x.withColumn("most", F.floor((1 - similarity) * F.greatest(F.length("ta"), F.length("tb")) + 1e-9).cast("int"))
+    x = x.withColumn("most", F.floor((1 - similarity) * F.greatest("na", "nb") + 1e-9).cast("int"))
     near = F.col("words") >= 0
     few, most_agree = near & (F.col("words") <= (1 - similarity) * longer + 1e-9), near & (3 * F.col("words") <= longer)
-    letters = F.abs(F.length("ta") - F.length("tb")) <= F.col("most")
-    linked = F.when(few, True).when(most_agree & letters, F.expr("levenshtein(ta, tb, most) >= 0")).otherwise(False)
-    return x.select("a", "b", pinned(linked).alias("linked"))
+    letters = F.abs(F.col("na") - F.col("nb")) <= F.col("most")
+    looked = scratch.save(x.withColumn("few", few).where(F.col("few") | (most_agree & letters)).select("a", "b", "few", "most"), "looked")
+    texts = held.select("key", "norm")
+    left = looked.where("not few").join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a")
+    left = left.where(pinned(F.expr("levenshtein(ta, tb, most) >= 0")))
+    links = scratch.save(looked.where("few").select("a", "b").unionByName(left.select("a", "b")), "links")
+    scratch.drop(looked)
+    return links
+
+
+def _shared(nodes: DataFrame, scratch: Scratch) -> list[DataFrame]:
+    """(bucket, node, n) of the blocks that several lines have, in ``SLICES`` tables, each of whole blocks: what is shuffled at
+    once is a slice."""
+    of_slice = lambda p: _blocks(nodes).where(F.pmod("bucket", F.lit(SLICES)) == p)
+    return [scratch.save(of_slice(p).withColumn("n", F.count("*").over(W.partitionBy("bucket"))).where("n > 1"), "shared") for p in range(SLICES)]
+
 
+def _union(tables: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, tables)
 
-def _links(nodes: DataFrame, rows: DataFrame, rid: str, text_col: str, scratch: Scratch, similarity: float) -> DataFrame:
+
+def _links(shared: list[DataFrame], nodes: DataFrame, rows: DataFrame, rid: str, text_col: str, scratch: Scratch, similarity: float) -> DataFrame:
     """(a, b): links that connect all lines of a group."""
-    banded = _blocks(nodes).withColumn("n", F.count("*").over(W.partitionBy("bucket")))
-    shared = scratch.save(banded.where("n > 1"), "shared")
     # the line that meets most others is the pivot: of near copies, the one closest to what they were made from
-    met = shared.groupBy("node").agg(F.sum("n").alias("met"))
-    placed = shared.join(met, "node").join(nodes.select(F.col("key").alias("node"), *_FACTS), "node")
+    met = _union(shared).groupBy("node").agg(F.sum("n").alias("met"))
+    met = scratch.save(met.join(nodes.select(F.col("key").alias("node"), *_FACTS), "node"), "met")
     pivot = F.max(F.struct("met", "node", *_FACTS)).over(W.partitionBy("bucket"))
-    placed = placed.withColumn("x", pivot).where("node <> x.node").withColumns({f"x_{c}": F.col(f"x.{c}") for c in _FACTS})
-    placed = scratch.save(placed.select("bucket", "n", "node", *_FACTS, F.col("x.node").alias("pivot"), _near(similarity).alias("near")), "met")
-    scratch.drop(shared)
+    slices = []
+    for blocks in shared:
+        x = blocks.join(met, "node").withColumn("x", pivot).where("node <> x.node").withColumns({f"x_{c}": F.col(f"x.{c}") for c in _FACTS})
+        slices.append(scratch.save(x.select("bucket", "n", "node", *_FACTS, F.col("x.node").alias("pivot"), _near(similarity).alias("near")), "placed"))
+        scratch.drop(blocks)
+    scratch.drop(met)
+    placed = _union(slices)
     stars = scratch.save(placed.where("near").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "stars")
     small, large = placed.where(f"n between 3 and {MANY}").drop("n", "pivot", "near"), placed.where(f"n > {MANY}").drop("n", "near")
     pairs = scratch.save(_pairs(small, small, F.expr("node < x_node"), similarity), "pairs")
+    large = scratch.save(large, "large")
+    scratch.drop(*slices)
     wanted = functools.reduce(DataFrame.union, [x.select(F.col(c).alias("key")) for x, c in ((stars, "a"), (stars, "b"), (pairs, "a"), (pairs, "b"), (large, "node"))])
-    held = scratch.save(_texts(nodes.join(wanted.distinct(), "key", "left_semi"), rows, rid, text_col), "held")
-    links = scratch.save(_compared(stars, held, similarity).where("linked").select("a", "b"), "links")
+    texts = _held(nodes.join(wanted.distinct(), "key", "left_semi"), rows, rid, text_col, scratch)
+    held = _union(texts)
+    links = _compared(stars, held, scratch, similarity)
     found = components(links, scratch)
     homes = [found.withColumnsRenamed({"node": x, "component": f"c{x}"}) for x in ("a", "b")]
     apart = pairs.join(homes[0], "a", "left").join(homes[1], "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    links = links.unionByName(scratch.save(_compared(apart, held, similarity).where("linked").select("a", "b"), "links"))
+    links = links.unionByName(_compared(apart, held, scratch, similarity))
     scratch.drop(stars, pairs)
     if large.limit(1).count():
         links = _crowded_links(large, links, held, scratch, similarity)
-    scratch.drop(placed, held)
+    scratch.drop(large, *texts)
     return links
 
 
+def _held(nodes: DataFrame, rows: DataFrame, rid: str, text_col: str, scratch: Scratch) -> list[DataFrame]:
+    """The texts of the lines of ``nodes``, in a table for each of ``SLICES`` ranges of rows, as whole documents are shuffled for them."""
+    nodes = scratch.save(nodes.select("key", "rid", "pos"), "wanted")
+    # a row's number begins with its partition's, in 31 bits over 33
+    parts = (rows.agg(F.max(rid)).first()[0] or 0) // (1 << 33) + 1
+    bounds = [(parts * p // SLICES) << 33 for p in range(SLICES + 1)]
+    out = []
+    for lo, hi in itertools.pairwise(bounds):
+        if lo < hi:
+            some = lambda x, c: x.where((F.col(c) >= F.lit(lo)) & (F.col(c) < F.lit(hi)))  # noqa: B023, E731
+            out.append(scratch.save(_texts(some(nodes, "rid"), some(rows, rid), rid, text_col), "held"))
+    scratch.drop(nodes)
+    return out
+
+
 def _texts(nodes: DataFrame, rows: DataFrame, rid: str, text_col: str) -> DataFrame:
     """(key, norm, code) of the lines of ``nodes``: no other line of their documents is normalised again."""
     wanted = nodes.groupBy(F.col("rid").alias("__at")).agg(F.collect_list(F.struct("key", "pos")).alias("__lines"))
     texts = rows.select(rid, text_col).join(wanted, F.col(rid) == F.col("__at")).select(F.split(text_col, "\n").alias("all"), "__lines")
     lines = texts.select(F.explode(F.transform("__lines", lambda x: F.struct(x["key"].alias("key"), F.get("all", x["pos"]).alias("line")))).alias("x"))
     lines = lines.select("x.key", pinned(normal_form(F.col("x.line"))).alias("norm"))
-    return lines.select("key", "norm", pinned(word_code(F.col("norm"))).alias("code"))
+    return lines.select("key", "norm", F.length("norm").alias("chars"), pinned(word_code(F.col("norm"))).alias("code"))
 
 
 def _crowded_links(large: DataFrame, links: DataFrame, held: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
@@ -186,14 +225,14 @@ def _crowded_links(large: DataFrame, links: DataFrame, held: DataFrame, scratch:
         picked = placed.groupBy("bucket").agg(F.array(*(F.min_by("node", F.xxhash64("node", F.lit(PIVOTS * seed + i))) for i in range(PIVOTS))).alias("picked"))
         picked = picked.select("bucket", F.explode(F.array_distinct("picked")).alias("node"))
         sides = _with_blocks(placed)
-        more = scratch.save(_compared(_pairs(sides, sides.join(picked, ["bucket", "node"]), F.expr("component <> x_component"), similarity), held, similarity), "seen")
-        links = scratch.save(links.unionByName(more.where("linked").select("a", "b")), "links")
+        more = _compared(_pairs(sides, sides.join(picked, ["bucket", "node"]), F.expr("component <> x_component"), similarity), held, scratch, similarity)
+        links = scratch.save(links.unionByName(more), "links")
         before, placed = placed, _torn(placed.drop("component", "away"), components(links, scratch), scratch)
         scratch.drop(before, more)
     sides = _with_blocks(placed)
     across = _pairs(sides, sides.where("away"), F.expr("component <> x_component and (not away or node < x_node)"), similarity)
     across = scratch.save(across, "across")
-    more = scratch.save(_compared(across, held, similarity).where("linked").select("a", "b"), "links")
+    more = _compared(across, held, scratch, similarity)
     scratch.drop(across, placed)
     return links.unionByName(more)
 
@@ -245,8 +284,13 @@ def repeated_lines(rows: DataFrame, rid: str, scratch: Scratch, similarity: floa
     lines = scratch.save(lines.select(F.col(rid).alias("rid"), "pos", _key(F.col("norm")).alias("key"), F.xxhash64(F.lit(1), "norm").alias("mark"), size.alias("size"), F.length("norm").alias("chars"), *(b.alias(x) for x, b in zip(_BITS, _bits(F.col("__ranked"), PARTS), strict=True)), *tops), "lines")
     # the mark is the second half of a line's identity: of lines with one key, links are those of the least mark
     nodes = lines.groupBy("key").agg(F.min("mark").alias("mark"), *(F.min_by(c, "mark").alias(c) for c in ("rid", "pos")), F.count("*").alias("n"), *(F.max(c).alias(c) for c in [*_FACTS, *_WORDS]))
-    nodes = scratch.save(nodes, "nodes")
-    found = components(_links(nodes, rows, rid, text_col, scratch, similarity), scratch)
+    wide, nodes = lines, scratch.save(nodes, "nodes")
+    lines = scratch.save(lines.select("rid", "pos", "key", "mark"), "lines")
+    scratch.drop(wide)
+    shared, wide = _shared(nodes, scratch), nodes
+    nodes = scratch.save(nodes.drop(*_WORDS), "nodes")
+    scratch.drop(wide)
+    found = components(_links(shared, nodes, rows, rid, text_col, scratch, similarity), scratch)
     marked = nodes.select("key", "mark", "n").join(found, nodes.key == found.node, "left").where("n > 1 or component is not null")
     marked = scratch.save(marked.select("key", F.col("mark").alias("least"), "component"), "marked")
     scratch.drop(nodes)

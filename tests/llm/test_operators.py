@@ -433,6 +433,28 @@ def test_line_dedup_of_crowded_blocks(spark):
     assert [r.n_removed for _, r in sorted(got.items())] == [int(g != i) for i, g in enumerate(group)] and len(texts) > line_dedup.MANY
 
 
+def test_line_dedup_shuffles_less_than_the_texts_at_once(spark, monkeypatch):
+    """No table is made from shuffle files of more bytes than the texts have, though blocks alone have more."""
+    r, letters = random.Random(11), "abcdefghijklmnopqrstuvwxyz"
+    line = lambda: " ".join("".join(r.choice(letters) for _ in range(r.randint(2, 9))) for _ in range(40))
+    texts = ["\n".join(line() for _ in range(10)) for _ in range(200)]
+    texts += [t.replace("a", "b", 5) for t in texts[:20]]
+    store, gateway = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+    nothing = gateway.jvm.java.util.ArrayList()
+    written = lambda: sum(stages.apply(i).shuffleWriteBytes() for stages in [store.stageList(nothing, False, False, gateway.new_array(gateway.jvm.double, 0), nothing)] for i in range(stages.size()))
+    real, made = line_dedup.Scratch.save, {}
+
+    def save(scratch, df, name):
+        before = written()
+        out = real(scratch, df, name)
+        made[name] = max(made.get(name, 0), written() - before)
+        return out
+
+    monkeypatch.setattr(line_dedup.Scratch, "save", save)
+    got = by_id(line_dedup.op3_line_dedup(frame(spark, texts)))
+    assert sum(r.n_removed for r in got.values()) == 200 and max(made.values()) < sum(map(len, texts)), made
+
+
 def test_word_bits_count_no_word_too_many(spark):
     lines = [(n, prose(n, n)) for n in (1, 9, 60, 5000)]
     got = {r.node: r for r in line_dedup.word_bits(spark.createDataFrame(lines, "key long, norm string")).collect()}
