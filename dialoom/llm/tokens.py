@@ -5,7 +5,8 @@ pieces that never cross from a non-space to a space, and no rule looks back, so
 chunks (a run of ASCII white space and the non-space run after it) in order. A worker keeps the ids of chunks it
 has seen. A new chunk of plain characters is split by the vocabulary's own pattern and only pieces not seen yet
 go to the library's model; a chunk with any other character goes to the library whole, and so does a text with
-control characters or white space outside ASCII.
+control characters or white space outside ASCII. Where white space is kept, a text's new words go to the
+model in one call, as no merge crosses the space that each starts with, and a single line feed is a piece of its own.
 """
 
 from __future__ import annotations
@@ -24,6 +25,10 @@ CHUNK_ENTRIES, PIECE_ENTRIES = 300_000, 400_000
 _CHUNK = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+\Z")
 #: Without these, a space is never followed by white space.
 _SPACE_RUNS = ("  ", " \t", " \n", " \r", " \x0b", " \x0c")
+_LINE_RUNS = ("\n\n", "\n ", "\n\t", "\n\r", "\n\x0b", "\n\x0c", "\t\n", "\r\n", "\x0b\n", "\x0c\n")
+#: New words that are taken together.
+MANY_WORDS = 64
+_SPACE = chr(288)
 #: Letters here are stable under NFC and have the same lower case everywhere.
 _PLAIN = re.compile("[\\x21-\\x7e\u00c0-\u012f\u0131-\u024f]+", re.ASCII)
 _ODD = re.compile(r"[\x00-\x08\x0e-\x1f\x7f-\xa0\u0300-\u036f\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]")
@@ -53,11 +58,14 @@ class Recent(dict):
             got = self.learn(key)
             if got is None:
                 return b""
+        self.keep(key, got)
+        return got
+
+    def keep(self, key: str, got: bytes) -> None:
         if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
         self[key] = got
-        return got
 
 
 class ChunkEncoder:
@@ -76,8 +84,16 @@ class ChunkEncoder:
         self.drops_space = drops_space
         self.odd = False
         self.chunks = Recent(self._learn, CHUNK_ENTRIES)
-        self.spaced = Recent(lambda part: self._learn(" " + part), CHUNK_ENTRIES)
         self.pieces = Recent(self._piece, PIECE_ENTRIES)
+        # tokens that start with a space; none that plain words can make may hold one further on: they have no byte 0xC2
+        # (shown as itself), which begins a no-break space, and no two spaces in a row
+        shown = self.library.get_vocab()
+        self.starts = np.zeros(max(shown.values(), default=0) + 1, bool)
+        self.starts[[i for t, i in shown.items() if t[0] == _SPACE]] = True
+        self.apart = not drops_space and not any(_SPACE in t[1:] and t.strip(_SPACE) and chr(0xC2) not in t for t in shown)
+        # words learnt together are not kept as pieces too
+        self.spaced = Recent(self._learn_part, CHUNK_ENTRIES + (PIECE_ENTRIES // 2 if self.apart else 0))
+        self.marks = {x: self.pieces[x] for x in ".,!|:;"}
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
@@ -86,6 +102,33 @@ class ChunkEncoder:
         shown = piece if piece.isascii() and piece.isalnum() else piece.encode().decode("latin-1").translate(_BYTE_CHARS)
         return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
+    def _learn_words(self, new: set[str]) -> None:
+        """Keeps the ids of those of the parts that are plain words, a mark behind them or not, as they are after a space."""
+        spaced, known, marks = self.spaced, self.spaced.older, self.marks
+        new = [w for w in new if w and w not in known]
+        plain = lambda w: w.isalpha() and (w.isascii() or _PLAIN.fullmatch(w))
+        marked = [w for w in new if w[-1] in marks and plain(w[:-1])]
+        words = {w for w in new if plain(w)}
+        words.update([w[:-1] for w in marked if w[:-1] not in spaced and w[:-1] not in known])
+        words = list(words)
+        for k in range(0, len(words), MANY_WORDS):
+            some = words[k : k + MANY_WORDS]
+            joined = " " + " ".join(some)
+            ids = np.array([t.id for t in self.model.tokenize(joined.encode().decode("latin-1").translate(_BYTE_CHARS))], "<u4")
+            ends = np.flatnonzero(self.starts[ids]) * 4
+            data, ends = ids.tobytes(), [*ends.tolist(), len(ids) * 4]
+            for i, w in enumerate(some):
+                spaced.keep(w, data[ends[i] : ends[i + 1]])
+        for w in marked:
+            spaced.keep(w, spaced[w[:-1]] + marks[w[-1]])
+
+    def _learn_part(self, part: str) -> bytes | None:
+        """What a space or, at its start, a line feed parts from what is before it."""
+        if part[:1] != "\n" or not self.apart:
+            return self._learn(" " + part)
+        rest = self._learn(part[1:]) if part[1:] else b""
+        return None if rest is None else self.pieces["\n"] + rest
+
     def _learn(self, chunk: str) -> bytes | None:
         bare = chunk.strip(" \t\n\r\x0b\x0c")
         if not _PLAIN.fullmatch(bare):
@@ -103,6 +146,15 @@ class ChunkEncoder:
         split = _LOWER_PATTERN if self.drops_space else _SPACE_PATTERN
         return b"".join([pieces[p] for p in split.findall(own)])
 
+    def _spaced_parts(self, first: str, parts: list[str]) -> bytes:
+        found = list(map(self.spaced.get, parts))
+        if None in found:
+            if self.apart:
+                self._learn_words({w for w, got in zip(parts, found, strict=True) if got is None})
+            spaced = self.spaced
+            found = [spaced[w] if got is None else got for w, got in zip(parts, found, strict=True)]
+        return self.chunks[first] + b"".join(found)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         out = []
         for text in texts:
@@ -114,9 +166,9 @@ class ChunkEncoder:
                 found = b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
             elif any(x in text for x in _SPACE_RUNS):
                 found = b"".join(map(self.chunks.__getitem__, _CHUNK.findall(text)))
-            else:  # each space starts a chunk
-                first, *rest = text.split(" ")
-                found = self.chunks[first] + b"".join(map(self.spaced.__getitem__, rest))
+            else:  # each space starts a chunk, and so does a line feed alone
+                first, *rest = (text if not self.apart or any(x in text for x in _LINE_RUNS) else text.replace("\n", " \n")).split(" ")
+                found = self._spaced_parts(first, rest)
             out.append(self._whole(text) if self.odd else found)
         return out
 

@@ -5,6 +5,7 @@ import math
 import random
 import re
 import zlib
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -62,6 +63,26 @@ def test_chunked_ids_are_the_librarys(name, drops):
     assert [x + b"\2\0\0\0" for x in own.encode(odd + [t or "" for t in TEXTS])] == [library(t) for t in odd + TEXTS]
 
 
+def test_new_words_go_to_the_model_together():
+    """Words of any line of a text, with a mark behind them or not; ids are the library's, next to any white space too."""
+    from tokenizers import Tokenizer
+
+    r, path = random.Random(12), tokens.default_path("byte_bpe_50k.json")
+    library, e, calls = Tokenizer.from_file(path), tokens.ChunkEncoder(path, False), []
+
+    class Counted:
+        def __init__(self, inner, name):
+            self.call = getattr(inner, name)
+            setattr(self, name, lambda *given, **named: calls.append(name) or self.call(*given, **named))
+
+    e.model, e.library = Counted(e.model, "tokenize"), Counted(e.library, "encode")
+    word = lambda: "".join(r.choice("abcdeéöß") for _ in range(r.randint(3, 12)))
+    text = "\n".join("the " + " ".join(word() + r.choice(["", "", ".", ","]) for _ in range(40)) for _ in range(20))
+    odd = ["", "\n", "\na b\n", "a\n\nb", "a \nb", "a\n b", "a\t\nb c\n\n", "x.. y... z.,\nw", "a\u00a0\n b", "don't 12. a\u0120b \u4e2d\u6587.\nc"]
+    assert e.encode([text])[0] == array("I", library.encode(text, add_special_tokens=False).ids).tobytes() and len(calls) < 50
+    assert e.encode(odd) == [array("I", library.encode(x, add_special_tokens=False).ids).tobytes() for x in odd]
+
+
 def test_first_fit_decreasing_is_the_plain_one():
     sizes = np.array([R.randint(1, 100) for _ in range(300)])
     bins, offsets = packing.first_fit_decreasing(sizes, 100)
