@@ -454,6 +454,26 @@ def test_line_dedup_of_crowded_blocks(spark):
     assert [r.n_removed for _, r in sorted(got.items())] == [int(g != i) for i, g in enumerate(group)] and len(texts) > line_dedup.MANY
 
 
+def test_crowded_blocks_of_unlike_lines_are_split(spark, monkeypatch):
+    """Lines that have leading words in common and little else part ways by further words, and no link is lost by it."""
+    r, letters = random.Random(12), "abcdefghijklmnopqrstuvwxyz"
+    other = lambda n: " ".join("".join(r.choice(letters) for _ in range(6)) for _ in range(n))
+    long, short = "extraordinarily incomprehensible", "institutionalisations characteristically counterrevolutionary"
+    texts = [f"{long} {other(20)}" for _ in range(100)] + [f"{short} {other(4)}" for _ in range(100)]
+    texts += [texts[7].rsplit(" ", 4)[0] + " " + other(4), texts[108].rsplit(" ", 1)[0] + " " + other(1), f"{short} ab", f"{short} ac"]
+    real, made = line_dedup.Scratch.save, Counter()
+
+    def save(scratch, df, name):
+        out = real(scratch, df, name)
+        made[name] += out.count()
+        return out
+
+    monkeypatch.setattr(line_dedup.Scratch, "save", save)
+    got = by_id(line_dedup.op3_line_dedup(frame(spark, texts)))
+    assert [i for i, x in got.items() if x.n_removed] == [200, 201, 203]
+    assert made["large"] + made["torn"] + made["across"] == 0 and made["held"] < 20, made
+
+
 def test_line_dedup_shuffles_less_than_the_texts_at_once(spark, monkeypatch):
     """No table is made from shuffle files of more bytes than the texts have, though blocks alone have more."""
     r, letters = random.Random(11), "abcdefghijklmnopqrstuvwxyz"
