@@ -1,6 +1,7 @@
 import hashlib
 import json
 
+import pyarrow as pa
 import pytest
 
 from dialoom import cli
@@ -164,6 +165,20 @@ def test_broken_pages(old, new, message):
     assert message in (wiki.read_page(PAGE.replace(old, new))[1] or "")
 
 
+def test_paragraphs_are_handed_over_in_pieces(spark):
+    """However many pages come at once, and however long the headings that their rows repeat."""
+    page = f"<article><h2>{'head ' * 400}</h2>{'<p>one</p>' * 200}</article>"
+    batch = pa.RecordBatch.from_pydict({"document_id": [str(i) for i in range(30)], "html": [page] * 29 + [None]})
+
+    class Pages:
+        select = lambda self, *_: self
+        mapInArrow = lambda self, run, _: run(iter([batch]))
+        mapInPandas = lambda self, run, _: run(iter([batch.to_pandas()]))
+
+    sizes = [len(x) for x in wiki.paragraphs(Pages())]
+    assert sum(sizes) == 29 * 200 + 1 and max(sizes) < 600
+
+
 def test_wiki_command(spark, tmp_path):
     def source(i):
         page = PAGE.replace("first", f"first{i}")
