@@ -58,8 +58,13 @@ _TIES = (14, 15)
 CODE = 9
 
 
+#: Letters and digits; the first two classes are parts of the third and the fourth that are quicker to look up.
+_KEPT = "\\p{L}\\p{Nd}\\p{IsAlphabetic}\\p{IsDigit}"
+
+
 def normal_form(line: Column) -> Column:
-    return F.btrim(F.regexp_replace(F.lower(line), "[^\\p{IsAlphabetic}\\p{IsDigit}]+", " "))
+    # a run that is one space stays as it is: most are, and replacing each takes longer than finding it
+    return F.btrim(F.regexp_replace(F.lower(line), f"[^ {_KEPT}][^{_KEPT}]*| [^{_KEPT}]+", " "))
 
 
 def _key(norm: Column) -> Column:
@@ -142,10 +147,11 @@ def _meet(blocks: DataFrame, similarity: float) -> DataFrame:
 
 def _bits(hashes: Column, parts: int) -> list[Column]:
     """``parts`` longs, with a bit for each word."""
-    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    bit = lambda h: F.call_function("shiftleft", one, h.bitwiseAND(F.lit(63)).cast("int"))
-    part = lambda i: lambda got, h: F.when(F.shiftright(h, 6).bitwiseAND(F.lit(parts - 1)) == i, got.bitwiseOR(bit(h))).otherwise(got)
-    return [F.aggregate(hashes, none, part(i)) for i in range(parts)]
+    # looked up, as lambdas are interpreted: a step has half as many parts as one that shifts and compares
+    signed = [1 << b if b < 63 else -(1 << 63) for b in range(64)]
+    table = lambda i: F.array(*(F.lit(signed[b % 64] if b // 64 == i else 0).cast("long") for b in range(64 * parts)))
+    part = lambda i: lambda got, h: got.bitwiseOR(F.get(table(i), h.bitwiseAND(F.lit(64 * parts - 1)).cast("int")))
+    return [F.aggregate(hashes, F.lit(0).cast("long"), part(i)) for i in range(parts)]
 
 
 def _sized_bits(hashes: Column, size: Column) -> list[Column]:

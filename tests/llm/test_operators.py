@@ -383,6 +383,16 @@ def test_line_dedup(spark):
     assert left.columns == odd.columns and {r.doc_id for r in left.collect()} == {0, 1, 2, 3, 6, 7, 8}
 
 
+def test_normal_form_is_the_plain_one(spark):
+    """Every character once, alone between letters, beside a space and in runs."""
+    r = random.Random(4)
+    texts = ["".join(f"a{c}b {c} {c}{c}d{c} e" for c in map(chr, range(i, i + 256))) for i in (*range(0, 0xD800, 256), *range(0xE000, 0x20000, 256))]
+    texts += ["".join(r.choice("ab1 \t-é日\u0903\u2160\u00bd") for _ in range(200)) for _ in range(200)]
+    plain = F.btrim(F.regexp_replace(F.lower("t"), "[^\\p{IsAlphabetic}\\p{IsDigit}]+", " "))
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select((line_dedup.normal_form(F.col("t")) == plain).alias("same"))
+    assert rows.where("same").count() == len(texts)
+
+
 def test_line_dedup_of_repeated_rows(spark):
     rows = [prose(20, 700) + "\nand a short one"] * 3 + [prose(20, 701)] * 2
     got = line_dedup.op3_line_dedup(frame(spark, rows, ids=[1, 1, 1, None, None])).collect()
